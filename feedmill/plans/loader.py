@@ -15,6 +15,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedmill.feeds import AUDIT, RELOAD, REPLACE, SENSOR, UPDATED, FeedSpec, feed
 from feedmill.functions.typing import (
@@ -34,7 +35,7 @@ from feedmill.operators.summary import daily_summary
 from feedmill.operators.upsert import merge_upsert, multi_match, with_keys, without_keys
 from feedmill.plans import plant, prices
 from feedmill.sources import files
-from feedmill.sources.delimited import ARRIVAL, FILE, MALFORMED, RAW, RUN_ON, scan
+from feedmill.sources.delimited import ARRIVAL, FILE, MALFORMED, RAW, ROW, RUN_ON, scan
 from feedmill.sources.store import TableStore
 from feedmill.tables import table
 
@@ -108,10 +109,12 @@ def input_files(spark: SparkSession, spec: FeedSpec, data_dir: str) -> list[str]
     return [files.join(folder, n) for n in names if fnmatch.fnmatchcase(n.lower(), mask)]
 
 
-def _write_landing(rows: DataFrame, spec: FeedSpec, path: str) -> dict[str, int]:
+def _write_landing(
+    rows: DataFrame, spec: FeedSpec, path: str
+) -> tuple[DataFrame, dict[str, int]]:
     seen = Observation()
-    columns = [*spec.columns, RAW, FILE, RUN_ON, FAULT]
-    kept = checked(rows, spec).select(*columns, *([ARRIVAL] if spec.write == SENSOR else []))
+    order = [ARRIVAL, ROW] if spec.write == SENSOR else []
+    kept = checked(rows, spec).select(*spec.columns, *order, RAW, FILE, RUN_ON, FAULT)
     (
         kept.observe(
             seen,
@@ -124,8 +127,15 @@ def _write_landing(rows: DataFrame, spec: FeedSpec, path: str) -> dict[str, int]
         .write.partitionBy("_ok")
         .parquet(path)
     )
-    # Partitions without rows report no metrics at all.
-    return {k: v or 0 for k, v in {"scanned": 0, "rejected": 0, "run_on": 0, **seen.get}.items()}
+    # Without any row there are no metrics at all.
+    counts = {k: seen.get.get(k) or 0 for k in ("scanned", "rejected", "run_on")}
+    return landing(rows.sparkSession, kept, path), counts
+
+
+def landing(spark: SparkSession, kept: DataFrame, path: str) -> DataFrame:
+    """Landed rows; ``_ok`` is the folder they are in."""
+    schema = T.StructType([*kept.schema.fields, T.StructField("_ok", T.BooleanType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def land(
@@ -141,25 +151,25 @@ def land(
     path = files.join(base, "stage")
     if not paths:
         return Landed(spec, base, report, None)
-    counts = _write_landing(scan(spark, spec, paths), spec, path)
+    landed, counts = _write_landing(scan(spark, spec, paths), spec, path)
     if counts["run_on"]:
-        uris = spark.read.parquet(path).filter(RUN_ON).select(FILE).distinct().collect()
+        uris = landed.filter(RUN_ON).select(FILE).distinct().collect()
         spanning = {unquote(r[0]).rsplit("/", 1)[1] for r in uris}
         whole = [p for p in paths if p.rsplit("/", 1)[1] in spanning]
         path = files.join(base, "stage-records")
-        counts = _write_landing(scan(spark, spec, paths, whole), spec, path)
+        landed, counts = _write_landing(scan(spark, spec, paths, whole), spec, path)
     report.scanned, report.rejected = counts["scanned"], counts["rejected"]
-    if report.scanned == report.rejected:
-        rows = None
-    else:
-        rows = spark.read.parquet(path).filter("_ok")
+    rows = landed.filter("_ok") if report.scanned > report.rejected else None
     if report.rejected:
-        refused = spark.read.parquet(path).filter("NOT _ok").select(RAW, FILE, FAULT)
-        _quarantine(store, spec, refused.withColumnRenamed(FAULT, "reason"))
+        quarantine(store, spec, refused(landed))
     return Landed(spec, base, report, rows)
 
 
-def _quarantine(store: TableStore, spec: FeedSpec, rows: DataFrame) -> None:
+def refused(landed: DataFrame) -> DataFrame:
+    return landed.filter("NOT _ok").select(RAW, FILE, F.col(FAULT).alias("reason"))
+
+
+def quarantine(store: TableStore, spec: FeedSpec, rows: DataFrame) -> None:
     rows.write.mode("append").parquet(files.join(store.root, "quarantine", spec.name))
 
 
@@ -181,7 +191,7 @@ def shaped(landed: Landed, store: TableStore) -> DataFrame:
         case "inventory":
             return plant.inventory_rows(rows, store.read("container"), store.read("inventory_dcd"))
         case "sensor":
-            return plant.sensor_readings(rows, ARRIVAL)
+            return plant.sensor_readings(rows, (ARRIVAL, ROW))
         case "price_crack":
             return prices.crack_view(rows)
         case "price_futures":
@@ -313,7 +323,7 @@ def _without_conflicts(
     if not count:
         return rows
     landed.report.conflicting = count
-    _quarantine(
+    quarantine(
         store,
         spec,
         aside.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,19 +121,19 @@ def inventory_unmapped(stage: DataFrame, container: DataFrame, material: DataFra
     return unmapped(stage, lookups)
 
 
-def sensor_readings(stage: DataFrame, arrival: str | None = None) -> DataFrame:
+def sensor_readings(stage: DataFrame, arrival: Sequence[str] = ()) -> DataFrame:
     """Wide sensor rows as one reading per location, tag and time.
 
     Our choice: pairs without a tag are unused, and where a reading comes twice
-    the one that arrived last counts.
+    the one that arrived last counts. Without ``arrival`` columns the readings
+    are taken to be unique.
     """
-    extra = [arrival] if arrival else []
     pairs = [tag_columns(i) for i in range(1, TAG_PAIRS + 1)]
-    rows = unpivot_pairs(stage, ["Ref_Location", "Trans_Timestamp", *extra], pairs).select(
+    rows = unpivot_pairs(stage, ["Ref_Location", "Trans_Timestamp", *arrival], pairs).select(
         "Ref_Location",
         "Tag_ID",
         to_stamp(F.col("Trans_Timestamp")).alias("Trans_Timestamp"),
         "Tag_Value",
-        *extra,
+        *arrival,
     )
-    return latest_per_key(rows, table("sensor").keys, extra) if arrival else rows
+    return latest_per_key(rows, table("sensor").keys, arrival) if arrival else rows

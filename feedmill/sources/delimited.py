@@ -19,6 +19,7 @@ from feedmill.feeds import FeedSpec
 from feedmill.operators.normalise import fill_empty
 
 FILE, ARRIVAL, RAW, MALFORMED, RUN_ON = "_file", "_arrival", "_raw", "_malformed", "_run_on"
+ROW = "_row"
 _UNUSED_SEPARATOR = "\u0001"
 
 
@@ -71,13 +72,12 @@ def drop_heads(lines: DataFrame, count: int) -> DataFrame:
 
 
 def _located(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Add where a row comes from; the arrival orders rows across files."""
+    """Add where a row comes from. Arrival orders files and splits."""
     meta = "_metadata."
     arrival = F.struct(
         F.col(meta + "file_modification_time").alias("modified"),
         F.col(meta + "file_path").alias("file"),
         F.col(meta + "file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
     )
     return df.select(
         *columns,
@@ -87,6 +87,11 @@ def _located(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """Add a number that grows within a split; with the arrival it orders all rows."""
+    return rows.withColumn(ROW, F.monotonically_increasing_id())
+
+
 def _run_on(line: Column) -> Column:
     """An odd number of quotes: a quoted cell may continue on the next line."""
     return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
@@ -129,7 +134,7 @@ def scan_lines(spark: SparkSession, spec: FeedSpec, paths: Sequence[str]) -> Dat
 
 
 def scan_stream(spark: SparkSession, spec: FeedSpec, folder: str, **options) -> DataFrame:
-    """The same scan as a stream over a drop folder."""
+    """The same scan as a stream over a drop folder; rows are numbered per batch."""
     reader = spark.readStream.option("pathGlobFilter", any_case(spec.mask)).options(**options)
     return parse_lines(_lines(reader, spec, lambda r: r.load(folder)), spec)
 
@@ -170,4 +175,4 @@ def scan(
     out = parts[0]
     for more in parts[1:]:
         out = out.unionByName(more)
-    return out
+    return numbered(out)

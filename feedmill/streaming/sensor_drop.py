@@ -17,10 +17,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmill.feeds import feed
-from feedmill.plans.loader import FAULT, checked, load_sensor_readings, settled, work_folder
+from feedmill.plans.loader import (
+    FAULT,
+    checked,
+    landing,
+    load_sensor_readings,
+    quarantine,
+    refused,
+    settled,
+    work_folder,
+)
 from feedmill.plans.plant import sensor_readings
 from feedmill.sources import files
-from feedmill.sources.delimited import ARRIVAL, FILE, RAW, scan_stream
+from feedmill.sources.delimited import ARRIVAL, ROW, numbered, scan_stream
 from feedmill.sources.store import TableStore
 
 
@@ -43,27 +52,21 @@ def sensor_batch(store: TableStore, clock: Callable[[], object]) -> Callable[[Da
     def handle(rows: DataFrame, _batch: int) -> None:
         spark = rows.sparkSession
         base = files.join(work_folder(spark, store), f"sensor-batch-{uuid.uuid4().hex}")
-        landing = files.join(base, "stage")
+        path = files.join(base, "stage")
+        rows = numbered(rows)
         try:
             (
                 rows.withColumn("_ok", F.col(FAULT).isNull())
                 .write.partitionBy("_ok")
-                .parquet(landing)
+                .parquet(path)
             )
-            landed = spark.read.schema(
-                rows.schema.add("_ok", "boolean")
-            ).parquet(landing)
-            refused = landed.filter("NOT _ok")
-            if not refused.isEmpty():
-                (
-                    refused.select(RAW, FILE, F.col(FAULT).alias("reason"))
-                    .write.mode("append")
-                    .parquet(files.join(store.root, "quarantine", "sensor"))
-                )
-            good = landed.filter("_ok")
+            landed = landing(spark, rows, path)
+            bad, good = refused(landed), landed.filter("_ok")
+            if not bad.isEmpty():
+                quarantine(store, feed("sensor"), bad)
             if good.isEmpty():
                 return
-            readings = settled(spark, sensor_readings(good, ARRIVAL), base)
+            readings = settled(spark, sensor_readings(good, (ARRIVAL, ROW)), base)
             load_sensor_readings(store, readings, clock())
         finally:
             files.delete_tree(spark, base)
