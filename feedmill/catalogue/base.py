@@ -41,13 +41,11 @@ def plain(sql: str) -> str:
 def shown(df: DataFrame) -> DataFrame:
     """Dates, timestamps and decimals as text, so that both engines print alike."""
 
+    kinds = (T.TimestampType, T.TimestampNTZType, T.DateType, T.DecimalType)
+
     def cell(f: T.StructField):
         c = F.col(f.name)
-        if isinstance(f.dataType, T.TimestampType | T.TimestampNTZType):
-            return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(f.name)
-        if isinstance(f.dataType, T.DateType | T.DecimalType):
-            return c.cast("string").alias(f.name)
-        return c
+        return c.cast("string").alias(f.name) if isinstance(f.dataType, kinds) else c
 
     return df.select(*[cell(f) for f in df.schema.fields])
 

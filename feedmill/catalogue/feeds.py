@@ -97,13 +97,15 @@ def _reload(spec: FeedSpec):
 
 
 def _upsert(spec: FeedSpec):
+    """The order number makes every file row's key unique."""
+
     def build(spark, sf_dir):
         core = with_audit(_typed(spec, spark, sf_dir, core_sql(spec)), OLD_TS)
         stage = _typed(spec, spark, sf_dir, stage_sql(spec, FILE_ORDER))
         return shown(
             merge_upsert(
                 core, stage, keys=spec.keys, updates=spec.updates, load_ts=LOAD_TS,
-                nullable_keys=spec.nullable_keys,
+                nullable_keys=spec.nullable_keys, unique_stage=True,
             )
         )
 

@@ -77,8 +77,8 @@ KEY = ["o_orderkey"]
 QUERIES = [
     _merge_query("merge_upsert_full", CORE, STAGE, ORDER, KEY, UPDATES, [], nullable_keys=[]),
     _merge_query(
-        "merge_upsert_large_stage", CORE, STAGE, ORDER, KEY, UPDATES, [],
-        nullable_keys=[], small_stage=False,
+        "merge_upsert_small_stage", CORE, STAGE, ORDER, KEY, UPDATES, [],
+        nullable_keys=[], small_stage=True,
     ),
     _merge_query("merge_insert_only", CORE, NEW_STAGE, ORDER, KEY, UPDATES, []),
     _merge_query("merge_partial_update", CORE, STAGE, ORDER, KEY, ["o_totalprice"], []),
@@ -88,9 +88,9 @@ QUERIES = [
         nullable_keys=["o_orderpriority"],
     ),
     _merge_query(
-        "merge_null_key_large_stage", NULL_KEY_CORE, NULL_KEY_STAGE, ORDER,
+        "merge_null_key_small_stage", NULL_KEY_CORE, NULL_KEY_STAGE, ORDER,
         ["o_orderkey", "o_orderpriority"], ["o_orderstatus", "o_totalprice"], ["o_orderpriority"],
-        nullable_keys=["o_orderpriority"], small_stage=False,
+        nullable_keys=["o_orderpriority"], small_stage=True,
     ),
     _merge_query(
         "merge_ci_key", NAMES_CORE, NAMES_STAGE, NAMES, ["c_name"], ["c_acctbal"], ["c_name"],

@@ -9,9 +9,9 @@ rows match is an error.
 
 Text keys are compared in :func:`~feedmill.functions.text.match_form`.
 
-Plans. A stage below the broadcast threshold is joined to the core by a plain
-left join that Catalyst broadcasts, so the core is not shuffled. Above it, one
-full outer join shuffles the core once. Hot keys cannot pile up in it: each key
+Plans. A stage below the broadcast threshold, and small against the core, is
+joined to it by a plain left join that Catalyst broadcasts: the core is not
+shuffled. Otherwise one full outer join shuffles the core once. Hot keys cannot pile up in it: each key
 enters the join as a single stage row (repeated keys are reduced to a marker by
 a map-side combined count, their copies bypass the join) and rows with a NULL
 key never enter it.
@@ -30,6 +30,7 @@ from feedmill.feeds import AUDIT
 from feedmill.functions.text import match_form
 from feedmill.functions.typing import load_stamp
 
+_CORE_FACTOR = 20
 _REPEATED = "_repeated"
 _IN_CORE = "_in_core"
 _IN_STAGE = "_in_stage"
@@ -87,12 +88,24 @@ def with_keys(stage: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFr
     return with_match_keys(stage, keys).join(listed, names, "left_semi").select(*stage.columns)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate is below the broadcast threshold."""
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate: for files, their size."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(df: DataFrame) -> int:
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= int(limit)
+    return df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
+def is_small_against(stage: DataFrame, core: DataFrame) -> bool:
+    """Whether broadcasting the stage is allowed and pays.
+
+    The left-join plan reads the core's keys a second time to save the shuffle of
+    the core. That pays when the core is many times larger than the stage.
+    """
+    size = estimated_bytes(stage)
+    return size <= broadcast_limit(stage) and size * _CORE_FACTOR <= estimated_bytes(core)
 
 
 def merge_upsert(
@@ -122,7 +135,7 @@ def merge_upsert(
     names = _key_names(keys)
     nullable = keys if nullable_keys is None else [k for k in keys if k in set(nullable_keys)]
     if small_stage is None:
-        small_stage = fits_broadcast(stage)
+        small_stage = is_small_against(stage, core)
 
     def inserted(rows: DataFrame) -> DataFrame:
         fresh = {created: stamp, updated: stamp}

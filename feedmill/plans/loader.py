@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedmill.feeds import AUDIT, RELOAD, REPLACE, SENSOR, UPDATED, FeedSpec, feed
+from feedmill.feeds import RELOAD, REPLACE, SENSOR, UPDATED, FeedSpec, feed
 from feedmill.functions.typing import (
     compact_day,
     load_stamp,
@@ -32,7 +32,13 @@ from feedmill.operators.normalise import normalise, with_audit
 from feedmill.operators.quality import row_fault
 from feedmill.operators.replace import reload, replace_where
 from feedmill.operators.summary import daily_summary
-from feedmill.operators.upsert import merge_upsert, multi_match, with_keys, without_keys
+from feedmill.operators.upsert import (
+    merge_upsert,
+    multi_match,
+    repeated_keys,
+    with_keys,
+    without_keys,
+)
 from feedmill.plans import plant, prices
 from feedmill.sources import files
 from feedmill.sources.delimited import ARRIVAL, FILE, MALFORMED, RAW, ROW, RUN_ON, scan
@@ -53,6 +59,7 @@ class LoadReport:
     scanned: int = 0
     rejected: int = 0
     conflicting: int = 0
+    unmapped: int = 0
     version: int | None = None
     archived: int = 0
 
@@ -231,6 +238,8 @@ def upsert(
 ) -> tuple[int, list[str]]:
     """Upsert into the slices that the stage touches; gives version and slices."""
     touched = store.slices_in(name, stage)
+    # One pass over the stage's keys: without repeats the upsert is a single join.
+    unique_stage = unique_stage or repeated_keys(stage, keys).isEmpty()
     merged = merge_upsert(
         store.read(name, touched),
         stage,
@@ -276,6 +285,24 @@ def _nullable(spec: FeedSpec) -> list[str]:
     return [k for k in spec.nullable_keys if k in set(spec.columns)] if spec.table != "price" else []
 
 
+def _report_unmapped(landed: Landed, store: TableStore) -> None:
+    """Set aside a copy of the readings that the inner decode joins will drop."""
+    seen = Observation()
+    lost = plant.inventory_unmapped(
+        landed.rows, store.read("container"), store.read("inventory_dcd")
+    ).observe(seen, F.count(F.lit(1)).alias("rows"))
+    quarantine(
+        store,
+        landed.spec,
+        lost.select(
+            F.to_json(F.struct(*landed.spec.columns)).alias(RAW),
+            FILE,
+            F.concat(F.lit("unmapped:"), F.col("missing")).alias("reason"),
+        ),
+    )
+    landed.report.unmapped = seen.get.get("rows") or 0
+
+
 def _write(
     spark: SparkSession,
     landed: Landed,
@@ -290,6 +317,8 @@ def _write(
         return store.overwrite(spec.table, reload(rows, core.data_columns, load_ts, core.audit))
     if spec.write == REPLACE:
         return replace_blend_lab(store, rows, load_ts)
+    if spec.name == "inventory":
+        _report_unmapped(landed, store)
     rows = settled(spark, rows, landed.path)
     if spec.write == SENSOR:
         return load_sensor_readings(store, rows, load_ts)
@@ -391,16 +420,3 @@ def load_prices(
         for x in landings:
             files.delete_tree(spark, x.path)
     return [x.report for x in landings]
-
-
-__all__ = [
-    "AUDIT",
-    "LoadReport",
-    "RejectedRows",
-    "land",
-    "load_feed",
-    "load_prices",
-    "load_sensor_readings",
-    "refresh_sensor_daily",
-    "upsert",
-]

@@ -17,7 +17,15 @@ from feedmill.feeds import (
     tag_columns,
 )
 from feedmill.functions.text import typed_null
-from feedmill.functions.typing import as_typed, stamp_clock, stamp_day, to_clock, to_number, to_stamp
+from feedmill.functions.typing import (
+    NUMBER,
+    as_typed,
+    stamp_clock,
+    stamp_day,
+    to_clock,
+    to_number,
+    to_stamp,
+)
 from feedmill.operators.lookup import decode, unmapped
 from feedmill.operators.replace import number_between
 from feedmill.operators.reshape import (
@@ -44,21 +52,29 @@ def typed_rows(stage: DataFrame, spec: FeedSpec) -> DataFrame:
     return stage.select(*[cell(c) for c in kinds])
 
 
+def _typed(stage: DataFrame, kinds: dict[str, str], times: Sequence[str] = ()) -> DataFrame:
+    """Type the columns named in ``kinds``, pass the others on."""
+
+    def cell(c: str) -> Column:
+        if c in times:
+            return to_clock(F.col(c)).alias(c)
+        return as_typed(F.col(c), kinds[c]).alias(c) if c in kinds else F.col(c)
+
+    return stage.select(*[cell(c) for c in stage.columns])
+
+
 def blend_lab_rows(stage: DataFrame) -> DataFrame:
-    """Sixteen measures per blend sample as lab results, without spec limits."""
-    spec_columns = [c for c in table("lab").columns]
-    ids = [c for c in spec_columns if c in set(stage.columns)]
-    rows = unpivot_measures(stage, ids, LAB_MEASURES).withColumns(
-        {"Result_MinSpec": typed_null(), "Result_MaxSpec": typed_null()}
-    )
+    """Sixteen measures per blend sample as lab results, without spec limits.
+
+    Sample columns are typed while there is one row per sample.
+    """
     kinds = table("lab").columns
-    times = {c for c in kinds if c.endswith("_Time")}
-    return rows.select(
-        *[
-            (to_clock(F.col(c)) if c in times else as_typed(F.col(c), t)).alias(c)
-            for c, t in kinds.items()
-        ]
+    ids = [c for c in kinds if c in set(stage.columns)]
+    samples = _typed(stage, {c: kinds[c] for c in ids}, [c for c in ids if c.endswith("_Time")])
+    rows = unpivot_measures(samples, ids, LAB_MEASURES).withColumns(
+        {"Result_MinSpec": typed_null(), "Result_MaxSpec": typed_null()}
     )
+    return rows.select(*kinds)
 
 
 def blend_lab_scope() -> Column:
@@ -67,20 +83,21 @@ def blend_lab_scope() -> Column:
 
 
 def blend_pred_rows(stage: DataFrame) -> DataFrame:
+    """Sixteen predictions per blend; two of them have a minimum of their own."""
+    numbers = {c: NUMBER for c in (*LAB_MEASURES, *PREDICTED_SPEC_MIN.values())}
     rows = unpivot_with_companion(
-        stage, ["Ref_Location", "Blend_ID"], LAB_MEASURES, PREDICTED_SPEC_MIN
-    ).withColumn("Spec_Max", typed_null())
-    return rows.select(
-        *[as_typed(F.col(c), t).alias(c) for c, t in table("blend_pred").columns.items()]
-    )
+        _typed(stage, numbers), ["Ref_Location", "Blend_ID"], LAB_MEASURES, PREDICTED_SPEC_MIN,
+        companion_type=NUMBER,
+    ).withColumn("Spec_Max", typed_null(NUMBER))
+    return rows.select(*table("blend_pred").columns)
 
 
 def blend_recipe_rows(stage: DataFrame) -> DataFrame:
+    """Ten component volumes per blend, keyed by material and container."""
     ids = ["Ref_Location", "Blend_ID", "Blend_Rep", "Blend_PlanAct"]
-    rows = unpivot_two_keys(stage, ids, RECIPE_MEASURES)
-    return rows.select(
-        *[as_typed(F.col(c), t).alias(c) for c, t in table("blend_recipe").columns.items()]
-    )
+    volumes = _typed(stage, {c: NUMBER for c in RECIPE_MEASURES})
+    rows = unpivot_two_keys(volumes, ids, RECIPE_MEASURES)
+    return rows.select(*table("blend_recipe").columns)
 
 
 def inventory_rows(stage: DataFrame, container: DataFrame, material: DataFrame) -> DataFrame:
@@ -91,7 +108,7 @@ def inventory_rows(stage: DataFrame, container: DataFrame, material: DataFrame)
     """
     rows = decode(stage, container, CONTAINER_LOOKUP, ["Container_ID"], prefix="_c")
     rows = decode(rows, material, MATERIAL_LOOKUP, ["Material_ID"], prefix="_m")
-    no_number = typed_null("decimal(18,4)")
+    no_number = typed_null(NUMBER)
     return rows.select(
         "Ref_Location",
         "Container_ID",
@@ -129,11 +146,9 @@ def sensor_readings(stage: DataFrame, arrival: Sequence[str] = ()) -> DataFrame:
     are taken to be unique.
     """
     pairs = [tag_columns(i) for i in range(1, TAG_PAIRS + 1)]
-    rows = unpivot_pairs(stage, ["Ref_Location", "Trans_Timestamp", *arrival], pairs).select(
-        "Ref_Location",
-        "Tag_ID",
-        to_stamp(F.col("Trans_Timestamp")).alias("Trans_Timestamp"),
-        "Tag_Value",
-        *arrival,
+    stamped = stage.withColumn("Trans_Timestamp", to_stamp(F.col("Trans_Timestamp")))
+    ids = ["Ref_Location", "Trans_Timestamp", *arrival]
+    rows = unpivot_pairs(stamped, ids, pairs).select(
+        "Ref_Location", "Tag_ID", "Trans_Timestamp", "Tag_Value", *arrival
     )
     return latest_per_key(rows, table("sensor").keys, arrival) if arrival else rows

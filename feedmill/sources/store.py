@@ -107,6 +107,27 @@ class TableStore:
         files.write_new_json(self.spark, files.join(self._log(name), f"{version:010d}.json"), manifest)
         return version
 
+    def expire(self, name: str, keep: int = 2) -> int:
+        """Delete commits that none of the last ``keep`` versions refer to."""
+        log, data = self._log(name), self._data(name)
+        published = [n for n in files.names_in(self.spark, log) if n.endswith(".json")]
+        live = set()
+        for n in published[-keep:]:
+            live |= set(files.read_json(self.spark, files.join(log, n))["slices"].values())
+        newest = int(published[-1].removesuffix(".json")) if published else 0
+        old = [
+            c
+            for c in files.folders_in(self.spark, data)
+            if c.startswith("commit=")
+            and c.removeprefix("commit=") not in live
+            and int(c.removeprefix("commit=").split("-")[0]) <= newest
+        ]
+        for c in old:
+            files.delete_tree(self.spark, files.join(data, c))
+        for n in published[:-keep]:
+            files.delete_tree(self.spark, files.join(log, n))
+        return len(old)
+
     def _written(self, path: str) -> list[str]:
         names = files.folders_in(self.spark, path)
         return [n.split("=", 1)[1] for n in names if n.startswith(f"{SLICE}=")]

@@ -243,6 +243,9 @@ def test_unmapped_readings_are_dropped(spark, store, tmp_path):
     rows[2][2], rows[3][3] = "nowhere", " "
     report = load_feed(spark, spec, store, drop(tmp_path, spec, rows), T1)
     assert report.scanned == 4 and store.read("inventory").count() == 2
+    lost = spark.read.parquet(f"{store.root}/quarantine/inventory").collect()
+    assert report.unmapped == 2
+    assert sorted(r["reason"] for r in lost) == ["unmapped:container", "unmapped:material"]
     row = store.read("inventory").first()
     assert (row["Container_ID"], row["Material_ID"]) == ("Container_ID0", "Material_ID0")
 
@@ -298,3 +301,35 @@ def test_failed_sensor_load_archives_nothing(spark, store, tmp_path, monkeypatch
     with pytest.raises(RuntimeError):
         load_feed(spark, spec, store, data, T1)
     assert (tmp_path / "data" / "Tags" / "a.csv").exists()
+
+
+def test_expired_versions_are_deleted_and_the_current_one_stays(spark, store, tmp_path):
+    spec = feed("container")
+    data = drop(tmp_path, spec, [sample(spec, 0), sample(spec, 1)])
+    for _ in range(3):
+        load_feed(spark, spec, store, data, T1)
+    assert store.expire("container", keep=1) == 2
+    assert store.read("container").count() == 2
+    assert load_feed(spark, spec, store, data, T2).version == 4
+
+
+def test_two_writers_cannot_publish_one_version(spark, store, tmp_path, monkeypatch):
+    spec = feed("container")
+    load_feed(spark, spec, store, drop(tmp_path, spec, [sample(spec)]), T1)
+    before = store.manifest("container")
+    rows = store.read("container")
+    store.overwrite("container", rows)
+    monkeypatch.setattr(store, "manifest", lambda _name: before)
+    with pytest.raises(FileExistsError):
+        store.overwrite("container", rows)
+
+
+def test_failed_write_leaves_the_old_version(spark, store, tmp_path):
+    spec = feed("container")
+    load_feed(spark, spec, store, drop(tmp_path, spec, [sample(spec)]), T1)
+    broken = store.read("container").withColumn(
+        "Units", F.raise_error(F.lit("lost")).cast("string")
+    )
+    with pytest.raises(Exception, match="lost"):
+        store.overwrite("container", broken)
+    assert store.read("container").first()["Units"] == "Units0"

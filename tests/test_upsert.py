@@ -98,16 +98,28 @@ def test_unique_stage_skips_the_check_for_repeats(spark):
     assert run(spark, core, stage, unique_stage=True) == model(core, stage)
 
 
-def test_small_stage_is_broadcast_and_the_core_not_shuffled(spark, sf_dir):
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
-    core = orders.select(
-        "*", F.lit(OLD).cast("timestamp").alias("Create_Dttm"),
-        F.lit(OLD).cast("timestamp").alias("Last_Update_Dttm"),
-    )
+def plan_of(spark, sf_dir, stage_table, columns):
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    stamp = F.lit(OLD).cast("timestamp")
+    core = items.select("*", stamp.alias("Create_Dttm"), stamp.alias("Last_Update_Dttm"))
+    stage = spark.read.parquet(f"{sf_dir}/{stage_table}.parquet").selectExpr(columns, "*")
+    have = set(stage.columns)
+    stage = stage.select(
+        *[F.col(c) if c in have else F.lit(None).cast(items.schema[c].dataType).alias(c) for c in items.columns]  # noqa: E501
+    )
     out = merge_upsert(
-        core, orders, keys=["o_orderkey"], updates=["o_totalprice"], load_ts=NEW,
+        core, stage, keys=["l_suppkey"], updates=["l_quantity"], load_ts=NEW,
         nullable_keys=(), unique_stage=True,
     )
-    update = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin [o_orderkey" in update or "BroadcastHashJoin [_key" in update
-    assert "FullOuter" not in update
+    return out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_stage_is_broadcast_and_the_core_not_shuffled(spark, sf_dir):
+    plan = plan_of(spark, sf_dir, "supplier", "s_suppkey AS l_suppkey")
+    assert "BroadcastHashJoin" in plan and "FullOuter" not in plan
+
+
+def test_larger_stage_is_one_full_outer_join(spark, sf_dir):
+    plan = plan_of(spark, sf_dir, "orders", "o_orderkey AS l_suppkey")
+    initial = plan[plan.index("Initial Plan") :] if "Initial Plan" in plan else plan
+    assert initial.count("FullOuter") == 1 and initial.count("LeftOuter") == 0
