@@ -117,8 +117,8 @@ TYPED_NULLS = {"Spec_Min": "string", "Spec_Max": "string", "Price_Open": "double
 
 
 def typed_null_columns(spark, sf_dir):
-    nation = source(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return with_typed_nulls(nation, TYPED_NULLS)
+    parts = source(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return with_typed_nulls(parts, TYPED_NULLS)
 
 
 AS_TEXT = """
@@ -292,8 +292,8 @@ QUERIES = [
     Query(
         "typed_null_columns",
         typed_null_columns,
-        "SELECT n_nationkey, n_name, cast(NULL AS varchar) AS Spec_Min, "
-        "cast(NULL AS varchar) AS Spec_Max, cast(NULL AS double) AS Price_Open FROM nation",
+        "SELECT p_partkey, p_name, cast(NULL AS varchar) AS Spec_Min, "
+        "cast(NULL AS varchar) AS Spec_Max, cast(NULL AS double) AS Price_Open FROM part",
     ),
     Query(
         "typed_core_casts",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from feedmill.catalogue.base import LOAD_TS, OLD_TS, Query, blank_sql, derive, merge_sql, plain, shown
 from feedmill.feeds import PRICE_KEYS, PRICE_UPDATES, feed
@@ -156,7 +157,8 @@ def price_view_pivot(spark, sf_dir):
 
 
 def price_all_sources(spark, sf_dir):
-    """Five feeds, one upsert, into a price table that holds older weekday quotes."""
+    """Five feeds, one upsert, into a price table that holds older quotes: crack and
+    spot ones with other prices, and weekly futures that no file brings again."""
     stage = prices.all_quotes(
         _crack(spark, sf_dir, CRACK_DAILY),
         _futures(spark, sf_dir, FUTURES_DAILY),
@@ -164,7 +166,9 @@ def price_all_sources(spark, sf_dir):
         _platts(spark, sf_dir),
     )
     core = prices.all_quotes(
-        _crack(spark, sf_dir, CRACK_DAILY), _opis(spark, sf_dir, OPIS_DAILY)[1]
+        _crack(spark, sf_dir, CRACK_DAILY),
+        _opis(spark, sf_dir, OPIS_DAILY)[1],
+        _futures(spark, sf_dir, FUTURES_DAILY).withColumn("Price_Freq", F.lit("W")),
     ).selectExpr(
         *[
             "cast(Price_Close + 5 AS decimal(18,4)) AS Price_Close" if c == "Price_Close"
@@ -288,6 +292,9 @@ def _all_sources_sql() -> str:
         "platts": _platts_sql(),
     }
     stage = " UNION ALL ".join(f"SELECT * FROM ({v}) {name}" for name, v in views.items())
+    views["weekly"] = "SELECT " + ", ".join(
+        "'W' AS Price_Freq" if c == "Price_Freq" else c for c in PRICE_COLUMNS
+    ) + f" FROM ({views['futures']}) f"
     changed = {
         "Price_Close": "cast(cast(Price_Close AS decimal(18,4)) + 5 AS varchar)",
         "Price_Description": "'old'",
@@ -296,7 +303,7 @@ def _all_sources_sql() -> str:
     core = " UNION ALL ".join(
         "SELECT " + ", ".join(f"{changed.get(c, c)} AS {c}" for c in PRICE_COLUMNS)
         + f" FROM ({views[name]}) {name}"
-        for name in ("crack", "spot")
+        for name in ("crack", "spot", "weekly")
     )
     return merge_sql(core, stage, list(PRICE_COLUMNS), list(PRICE_KEYS), list(PRICE_UPDATES))
 

@@ -30,7 +30,7 @@ def width_violations(df: DataFrame, ids: Sequence[str], widths: dict[str, int])
         }
         for c, w in widths.items()
     ]
-    return unpivot(df, ids, branches, keep=lambda b: b["actual_width"] > b["max_width"])
+    return unpivot(df, ids, branches, keep=F.col("actual_width") > F.col("max_width"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

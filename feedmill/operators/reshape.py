@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,19 +12,31 @@ def unpivot(
     df: DataFrame,
     ids: Sequence[str],
     branches: Sequence[dict[str, Column]],
-    keep: Callable[[dict[str, Column]], Column] | None = None,
+    keep: Column | None = None,
 ) -> DataFrame:
     """One output row per input row and branch.
 
     A branch maps output names to expressions over the input row; all branches
-    name the same columns with the same types. NULL measures are kept. ``keep``
-    gets a branch's fields and decides whether it becomes a row.
+    name the same columns with the same types. NULL measures are kept, unless
+    ``keep``, a test on the output columns, drops the row.
+
+    UNPIVOT runs as an Expand inside generated code. Exploding an array of
+    structs gives the same rows but builds the array per input row. The
+    DataFrame method takes one value column only, hence the SQL.
     """
     names = list(branches[0])
-    rows = F.array(*[F.struct(*[b[n].alias(n) for n in names]) for b in branches])
-    if keep is not None:
-        rows = F.filter(rows, lambda b: keep({n: b.getField(n) for n in names}))
-    return df.select(*ids, F.explode(rows).alias("b")).select(*ids, *[f"b.{n}" for n in names])
+    wide = df.select(*ids, *[b[n].alias(f"_{i}_{n}") for i, b in enumerate(branches) for n in names])
+    values = ", ".join(f"`{n}`" for n in names)
+    groups = ", ".join(
+        "(" + ", ".join(f"`_{i}_{n}`" for n in names) + f") AS `{i}`" for i in range(len(branches))
+    )
+    columns = ", ".join(f"`{c}`" for c in [*ids, *names])
+    rows = df.sparkSession.sql(
+        f"SELECT {columns} FROM {{wide}} "
+        f"UNPIVOT INCLUDE NULLS (({values}) FOR `_branch` IN ({groups}))",
+        wide=wide,
+    )
+    return rows if keep is None else rows.filter(keep)
 
 
 def unpivot_measures(
@@ -97,13 +109,10 @@ def unpivot_pairs(
     tag: str = "Tag_ID",
     value: str = "Tag_Value",
 ) -> DataFrame:
-    """(tag, value) column pairs to rows; pairs without a tag are dropped.
-
-    Unused pairs fall away inside the array, before rows are made of them.
-    """
+    """(tag, value) column pairs to rows; pairs without a tag are dropped."""
     return unpivot(
         df,
         ids,
         [{tag: F.col(t), value: F.col(v)} for t, v in pairs],
-        keep=lambda b: F.rtrim(b[tag]) != "",
+        keep=F.rtrim(tag) != "",
     )

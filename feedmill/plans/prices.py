@@ -75,7 +75,7 @@ def crack_view(stage: DataFrame) -> DataFrame:
         }
         for series, unit in CRACK_SERIES.items()
     ]
-    quotes = unpivot(stage, [], branches, keep=lambda b: b["Price_Date"].isNotNull())
+    quotes = unpivot(stage, [], branches, keep=F.col("Price_Date").isNotNull())
     return _complete(
         quotes.withColumns(
             {
