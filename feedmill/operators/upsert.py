@@ -9,12 +9,17 @@ rows match is an error.
 
 Text keys are compared in :func:`~feedmill.functions.text.match_form`.
 
-Plans. A stage below the broadcast threshold, and small against the core, is
-joined to it by a plain left join that Catalyst broadcasts: the core is not
-shuffled. Otherwise one full outer join shuffles the core once. Hot keys cannot pile up in it: each key
-enters the join as a single stage row (repeated keys are reduced to a marker by
-a map-side combined count, their copies bypass the join) and rows with a NULL
-key never enter it.
+Plans. The core is left-joined to the stage for the updates, and the stage is
+anti-joined to the core's distinct keys for the inserts. A stage below the
+broadcast threshold is broadcast by Catalyst and the core is not shuffled. A
+larger one costs a shuffle of the core and one of its distinct keys; a single full
+outer join would save the latter, but adaptive execution cannot split a hot key
+in it, and it can on the left of these joins.
+
+Hot keys. A repeated core key sits on the left of the update join and enters the
+insert join once. A repeated stage key enters the joins as one marker row, found
+by a map-side combined count; its copies are appended without a join by key. Rows
+with a NULL key enter no join.
 """
 
 from __future__ import annotations
@@ -30,9 +35,7 @@ from feedmill.feeds import AUDIT
 from feedmill.functions.text import match_form
 from feedmill.functions.typing import load_stamp
 
-_CORE_FACTOR = 20
 _REPEATED = "_repeated"
-_IN_CORE = "_in_core"
 _IN_STAGE = "_in_stage"
 
 
@@ -98,14 +101,8 @@ def broadcast_limit(df: DataFrame) -> int:
     return df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
-def is_small_against(stage: DataFrame, core: DataFrame) -> bool:
-    """Whether broadcasting the stage is allowed and pays.
-
-    The left-join plan reads the core's keys a second time to save the shuffle of
-    the core. That pays when the core is many times larger than the stage.
-    """
-    size = estimated_bytes(stage)
-    return size <= broadcast_limit(stage) and size * _CORE_FACTOR <= estimated_bytes(core)
+def fits_broadcast(df: DataFrame) -> bool:
+    return estimated_bytes(df) <= broadcast_limit(df)
 
 
 def merge_upsert(
@@ -125,7 +122,8 @@ def merge_upsert(
     ``stage`` has every core column except the audit columns. ``nullable_keys``
     names the keys that may be NULL (all, when not told). ``unique_stage`` says
     that no stage key occurs twice, which saves the check for repeats.
-    ``small_stage`` overrides the choice of plan.
+    ``small_stage`` says whether the stage can be broadcast, if the optimizer's
+    estimate is not to decide.
     """
     keys = list(keys)
     created, updated = audit
@@ -135,7 +133,7 @@ def merge_upsert(
     names = _key_names(keys)
     nullable = keys if nullable_keys is None else [k for k in keys if k in set(nullable_keys)]
     if small_stage is None:
-        small_stage = is_small_against(stage, core)
+        small_stage = fits_broadcast(stage)
 
     def inserted(rows: DataFrame) -> DataFrame:
         fresh = {created: stamp, updated: stamp}
@@ -161,38 +159,38 @@ def merge_upsert(
             repeats.withColumn(_REPEATED, F.lit(True)), allowMissingColumns=True
         )
     side = side.select(
-        *names, _REPEATED, F.lit(True).alias(_IN_STAGE), *[F.col(c).alias(f"_s_{c}") for c in data]
+        *names,
+        _REPEATED,
+        F.lit(True).alias(_IN_STAGE),
+        *[F.col(c).alias(f"_s_{c}") for c in data if c in set(updates)],
     )
 
+    if nullable:
+        parts.append(left.filter(~_complete(nullable)).select(*columns))
+        left = left.filter(_complete(nullable))
+
+    present = left.select(*names)
+    if small_stage:
+        # Only the few core keys that the stage has are shuffled for the inserts.
+        present = present.join(side.select(*names), names, "left_semi")
+    parts.append(inserted(single.join(present.distinct(), names, "left_anti")))
+
     changed = set(updates)
     hit = F.col(_IN_STAGE).isNotNull()
-    known = F.col(_IN_CORE).isNotNull()
 
     def merged(c: str) -> Column:
-        if c == created:
-            return F.when(known, F.col(c)).otherwise(stamp).alias(c)
         if c == updated:
             return F.when(hit, stamp).otherwise(F.col(c)).alias(c)
         if c in changed:
             return F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
-        return F.when(known, F.col(c)).otherwise(F.col(f"_s_{c}")).alias(c)
-
-    # A repeated key is a fault when the core has it, and no row of its own otherwise.
-    repeated = F.coalesce(F.col(_REPEATED), F.lit(False))
-    fault = F.raise_error(
-        F.concat(F.lit("several stage rows match one core row: "), F.concat_ws("|", *names))
-    ).cast("boolean")
-    valid = F.when(known & repeated, fault).otherwise(~repeated)
+        return F.col(c)
 
-    left = left.withColumn(_IN_CORE, F.lit(True))
-    if small_stage:
-        joined = left.join(side, names, "left")
-        present = left.select(*names).join(side.select(*names), names, "left_semi")
-        parts.append(inserted(single.join(present, names, "left_anti")))
-    else:
-        if nullable:
-            parts.append(left.filter(~_complete(nullable)).select(*columns))
-            left = left.filter(_complete(nullable))
-        joined = left.join(side, names, "full_outer")
-    parts.append(joined.filter(valid).select(*[merged(c) for c in columns]))
+    joined = left.join(side, names, "left")
+    if not unique_stage:
+        fault = F.raise_error(
+            F.concat(F.lit("several stage rows match one core row: "), F.concat_ws("|", *names))
+        )
+        repeated = F.coalesce(F.col(_REPEATED), F.lit(False))
+        joined = joined.filter(F.when(repeated, fault.cast("boolean")).otherwise(True))
+    parts.append(joined.select(*[merged(c) for c in columns]))
     return reduce(DataFrame.unionByName, parts)

@@ -61,6 +61,7 @@ def test_equals_the_model(spark, small, seed):
     spell = [lambda s: s, str.upper, lambda s: s + "  "]
     core_keys = [(f"k{i}", j) for i in range(12) for j in range(2)] + [(None, 1)] * 5
     core = [(k, j, "core", 1) for k, j in core_keys]
+    core += [("k7", 0, f"core{i}", i) for i in range(30)]  # one stage row updates them all
     stage = []
     for i in range(6, 18):
         stage.append((rnd.choice(spell)(f"k{i}"), 0, rnd.choice(["new", None]), 2))
@@ -98,28 +99,28 @@ def test_unique_stage_skips_the_check_for_repeats(spark):
     assert run(spark, core, stage, unique_stage=True) == model(core, stage)
 
 
-def plan_of(spark, sf_dir, stage_table, columns):
+def plan_of(spark, sf_dir, **how):
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     stamp = F.lit(OLD).cast("timestamp")
     core = items.select("*", stamp.alias("Create_Dttm"), stamp.alias("Last_Update_Dttm"))
-    stage = spark.read.parquet(f"{sf_dir}/{stage_table}.parquet").selectExpr(columns, "*")
-    have = set(stage.columns)
-    stage = stage.select(
-        *[F.col(c) if c in have else F.lit(None).cast(items.schema[c].dataType).alias(c) for c in items.columns]  # noqa: E501
-    )
     out = merge_upsert(
-        core, stage, keys=["l_suppkey"], updates=["l_quantity"], load_ts=NEW,
-        nullable_keys=(), unique_stage=True,
+        core, items, keys=["l_orderkey", "l_linenumber"], updates=["l_quantity"], load_ts=NEW,
+        nullable_keys=(), unique_stage=True, **how,
     )
     return out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_small_stage_is_broadcast_and_the_core_not_shuffled(spark, sf_dir):
-    plan = plan_of(spark, sf_dir, "supplier", "s_suppkey AS l_suppkey")
-    assert "BroadcastHashJoin" in plan and "FullOuter" not in plan
-
-
-def test_larger_stage_is_one_full_outer_join(spark, sf_dir):
-    plan = plan_of(spark, sf_dir, "orders", "o_orderkey AS l_suppkey")
-    initial = plan[plan.index("Initial Plan") :] if "Initial Plan" in plan else plan
-    assert initial.count("FullOuter") == 1 and initial.count("LeftOuter") == 0
+    (update,) = [x for x in plan_of(spark, sf_dir).split("\n") if "LeftOuter" in x]
+    assert "BroadcastHashJoin" in update and "BuildRight" in update
+
+
+def test_large_stage_is_never_broadcast(spark, sf_dir):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        plan = plan_of(spark, sf_dir)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Broadcast" not in plan and "FullOuter" not in plan and "LeftSemi" not in plan
+    assert "SortMergeJoin" in plan and "LeftOuter" in plan and "LeftAnti" in plan
