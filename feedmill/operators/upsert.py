@@ -36,6 +36,7 @@ from feedmill.functions.text import match_form
 from feedmill.functions.typing import load_stamp
 
 _REPEATED = "_repeated"
+_SPLIT = "_split"
 _IN_STAGE = "_in_stage"
 
 
@@ -59,6 +60,22 @@ def _complete(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
+def _splittable(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Add a join key that no earlier aggregate is partitioned by.
+
+    Adaptive execution splits a hot key only where both sides of the join have
+    been shuffled for it. Without this key Spark would reuse the partitioning of
+    the aggregate below one side, and the hot key would stay in one task.
+    """
+    return df.withColumn(_SPLIT, F.xxhash64(*names))
+
+
+def _join(left: DataFrame, right: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+    """Join in which a hot key on the left can be split."""
+    joined = _splittable(left, names).join(_splittable(right, names), [*names, _SPLIT], how)
+    return joined.drop(_SPLIT)
+
+
 def repeated_keys(stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Compared keys that occur more than once, with the number of copies."""
     return (
@@ -72,7 +89,7 @@ def repeated_keys(stage: DataFrame, keys: Sequence[str]) -> DataFrame:
 def multi_match(core: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of core rows that several stage rows would update."""
     names = _key_names(keys)
-    present = with_match_keys(core.select(*keys), keys).select(*names)
+    present = with_match_keys(core.select(*keys), keys).select(*names).distinct()
     found = repeated_keys(stage, keys).join(present, names, "left_semi")
     return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], "copies")
 
@@ -81,14 +98,14 @@ def without_keys(stage: DataFrame, found: DataFrame, keys: Sequence[str]) -> Dat
     """Stage rows whose key is not among ``found`` (compared keys)."""
     names = _key_names(keys)
     listed = found.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    return with_match_keys(stage, keys).join(listed, names, "left_anti").select(*stage.columns)
+    return _join(with_match_keys(stage, keys), listed, names, "left_anti").select(*stage.columns)
 
 
 def with_keys(stage: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stage rows whose key is among ``found`` (compared keys)."""
     names = _key_names(keys)
     listed = found.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    return with_match_keys(stage, keys).join(listed, names, "left_semi").select(*stage.columns)
+    return _join(with_match_keys(stage, keys), listed, names, "left_semi").select(*stage.columns)
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -97,8 +114,9 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+    """Catalyst's own threshold in bytes; negative when broadcasts are off."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return int(conf.autoBroadcastJoinThreshold())
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -139,7 +157,7 @@ def merge_upsert(
         fresh = {created: stamp, updated: stamp}
         return rows.select(*[fresh[c].alias(c) if c in fresh else F.col(c) for c in columns])
 
-    stage = stage.select(*data)
+    stage = stage.select(*[F.col(c).cast(core.schema[c].dataType).alias(c) for c in data])
     left = with_match_keys(core, keys)
     right = with_match_keys(stage, keys)
     parts: list[DataFrame] = []
@@ -153,8 +171,8 @@ def merge_upsert(
         side = right.withColumn(_REPEATED, F.lit(False))
     else:
         repeats = repeated_keys(stage, keys).select(*names)
-        single = right.join(repeats, names, "left_anti")
-        parts.append(inserted(right.join(repeats, names, "left_semi")))
+        single = _join(right, repeats, names, "left_anti")
+        parts.append(inserted(_join(right, repeats, names, "left_semi")))
         side = single.withColumn(_REPEATED, F.lit(False)).unionByName(
             repeats.withColumn(_REPEATED, F.lit(True)), allowMissingColumns=True
         )
@@ -185,7 +203,7 @@ def merge_upsert(
             return F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
         return F.col(c)
 
-    joined = left.join(side, names, "left")
+    joined = _join(left, side, names, "left")
     if not unique_stage:
         fault = F.raise_error(
             F.concat(F.lit("several stage rows match one core row: "), F.concat_ws("|", *names))

@@ -124,3 +124,37 @@ def test_large_stage_is_never_broadcast(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Broadcast" not in plan and "FullOuter" not in plan and "LeftSemi" not in plan
     assert "SortMergeJoin" in plan and "LeftOuter" in plan and "LeftAnti" in plan
+
+
+def test_hot_core_key_is_split_over_tasks(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = 90_000
+        stamp = F.lit(OLD).cast("timestamp")
+        key = F.when(F.col("id") % 3 == 0, "Hot").otherwise(F.concat(F.lit("k"), "id"))
+        core = spark.range(0, rows, 1, 6).select(
+            key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"),
+            stamp.alias("Create_Dttm"), stamp.alias("Last_Update_Dttm"),
+        )
+        stage = spark.range(0, 30_000, 1, 2).select(
+            F.when(F.col("id") == 0, "hot ").otherwise(F.concat(F.lit("K"), "id")).alias("k"),
+            F.lit("new").alias("v"),
+        )
+        out = merge_upsert(core, stage, keys=["k"], updates=["v"], load_ts=NEW)
+        total = out.groupBy("v").agg(F.count("*").alias("n"), F.max("k"), F.max("Create_Dttm"))
+        counts = {r["v"]: r["n"] for r in total.filter("v = 'new'").collect()}
+        summary = out.agg(F.count("*"), F.max("v"), F.max("k"), F.max("Last_Update_Dttm"))
+        assert summary.collect()[0][0] == rows + 9_999  # stage numbers divisible by three are new
+        assert counts == {"new": rows // 3 + 20_000 + 9_999}
+        assert "skew=true" in summary._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
