@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions.text import match_form
+from feedmill.operators.upsert import split_join
 
 
 def _keyed(df: DataFrame, columns: Sequence[str], prefix: str) -> tuple[DataFrame, list[str]]:
@@ -57,7 +58,7 @@ def unmapped(
         entries, _ = _keyed(dictionary, [b for _, b in on], f"_u{i}_")
         found = f"_found{i}"
         entries = entries.select(*names).distinct().withColumn(found, F.lit(True))
-        out = out.join(entries, names, "left")
+        out = split_join(out, entries, names, "left")
         flags.append(F.when(F.col(found).isNull(), F.lit(name)))
     missing = F.concat_ws(",", *flags)
     return out.select(*df.columns, missing.alias(reason)).filter(F.col(reason) != "")

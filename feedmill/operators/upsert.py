@@ -70,7 +70,7 @@ def _splittable(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumn(_SPLIT, F.xxhash64(*names))
 
 
-def _join(left: DataFrame, right: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+def split_join(left: DataFrame, right: DataFrame, names: Sequence[str], how: str) -> DataFrame:
     """Join in which a hot key on the left can be split."""
     joined = _splittable(left, names).join(_splittable(right, names), [*names, _SPLIT], how)
     return joined.drop(_SPLIT)
@@ -98,14 +98,14 @@ def without_keys(stage: DataFrame, found: DataFrame, keys: Sequence[str]) -> Dat
     """Stage rows whose key is not among ``found`` (compared keys)."""
     names = _key_names(keys)
     listed = found.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    return _join(with_match_keys(stage, keys), listed, names, "left_anti").select(*stage.columns)
+    return split_join(with_match_keys(stage, keys), listed, names, "left_anti").select(*stage.columns)
 
 
 def with_keys(stage: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stage rows whose key is among ``found`` (compared keys)."""
     names = _key_names(keys)
     listed = found.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    return _join(with_match_keys(stage, keys), listed, names, "left_semi").select(*stage.columns)
+    return split_join(with_match_keys(stage, keys), listed, names, "left_semi").select(*stage.columns)
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -171,8 +171,8 @@ def merge_upsert(
         side = right.withColumn(_REPEATED, F.lit(False))
     else:
         repeats = repeated_keys(stage, keys).select(*names)
-        single = _join(right, repeats, names, "left_anti")
-        parts.append(inserted(_join(right, repeats, names, "left_semi")))
+        single = split_join(right, repeats, names, "left_anti")
+        parts.append(inserted(split_join(right, repeats, names, "left_semi")))
         side = single.withColumn(_REPEATED, F.lit(False)).unionByName(
             repeats.withColumn(_REPEATED, F.lit(True)), allowMissingColumns=True
         )
@@ -203,7 +203,7 @@ def merge_upsert(
             return F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
         return F.col(c)
 
-    joined = _join(left, side, names, "left")
+    joined = split_join(left, side, names, "left")
     if not unique_stage:
         fault = F.raise_error(
             F.concat(F.lit("several stage rows match one core row: "), F.concat_ws("|", *names))
