@@ -78,7 +78,7 @@ QUERIES = [
     _merge_query("merge_upsert_full", CORE, STAGE, ORDER, KEY, UPDATES, [], nullable_keys=[]),
     _merge_query(
         "merge_upsert_small_stage", CORE, STAGE, ORDER, KEY, UPDATES, [],
-        nullable_keys=[], small_stage=True,
+        nullable_keys=[],
     ),
     _merge_query("merge_insert_only", CORE, NEW_STAGE, ORDER, KEY, UPDATES, []),
     _merge_query("merge_partial_update", CORE, STAGE, ORDER, KEY, ["o_totalprice"], []),
@@ -90,7 +90,7 @@ QUERIES = [
     _merge_query(
         "merge_null_key_small_stage", NULL_KEY_CORE, NULL_KEY_STAGE, ORDER,
         ["o_orderkey", "o_orderpriority"], ["o_orderstatus", "o_totalprice"], ["o_orderpriority"],
-        nullable_keys=["o_orderpriority"], small_stage=True,
+        nullable_keys=["o_orderpriority"],
     ),
     _merge_query(
         "merge_ci_key", NAMES_CORE, NAMES_STAGE, NAMES, ["c_name"], ["c_acctbal"], ["c_name"],

@@ -318,7 +318,7 @@ def feed_sensor(spark, sf_dir):
         merge_upsert(
             with_audit(core, OLD_TS), readings,
             keys=spec.keys, updates=spec.updates, load_ts=LOAD_TS,
-            nullable_keys=(), unique_stage=True,
+            nullable_keys=(),
         )
     )
 

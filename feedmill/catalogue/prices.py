@@ -182,7 +182,6 @@ def price_all_sources(spark, sf_dir):
         merge_upsert(
             with_audit(core, OLD_TS), stage,
             keys=PRICE_KEYS, updates=PRICE_UPDATES, load_ts=LOAD_TS, nullable_keys=(),
-            unique_stage=True,  # every view's rows are grouped by what makes up the key
         )
     )
 

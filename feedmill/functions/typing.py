@@ -15,6 +15,12 @@ def to_number(c: Column, type_name: str = NUMBER) -> Column:
     return F.trim(c).try_cast(type_name)
 
 
+def exact_number(c: Column, type_name: str = NUMBER) -> Column:
+    """The number, unless the type would drop digits of it."""
+    number = to_number(c, type_name)
+    return F.when(number == F.trim(c).try_cast("decimal(38,18)"), number)
+
+
 def to_day(c: Column) -> Column:
     """``yyyy-MM-dd`` text. The cast alone would take more forms; it is much
     faster than a formatter, so the form is tested beside it."""

@@ -108,21 +108,6 @@ def with_keys(stage: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFr
     return split_join(with_match_keys(stage, keys), listed, names, "left_semi").select(*stage.columns)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate: for files, their size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """Catalyst's own threshold in bytes; negative when broadcasts are off."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return int(conf.autoBroadcastJoinThreshold())
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    return estimated_bytes(df) <= broadcast_limit(df)
-
-
 def merge_upsert(
     core: DataFrame,
     stage: DataFrame,
@@ -133,15 +118,12 @@ def merge_upsert(
     audit: Sequence[str] = AUDIT,
     nullable_keys: Sequence[str] | None = None,
     unique_stage: bool = False,
-    small_stage: bool | None = None,
 ) -> DataFrame:
     """The core table after the upsert, with the core's columns.
 
     ``stage`` has every core column except the audit columns. ``nullable_keys``
     names the keys that may be NULL (all, when not told). ``unique_stage`` says
     that no stage key occurs twice, which saves the check for repeats.
-    ``small_stage`` says whether the stage can be broadcast, if the optimizer's
-    estimate is not to decide.
     """
     keys = list(keys)
     created, updated = audit
@@ -150,8 +132,6 @@ def merge_upsert(
     data = [c for c in columns if c not in audit]
     names = _key_names(keys)
     nullable = keys if nullable_keys is None else [k for k in keys if k in set(nullable_keys)]
-    if small_stage is None:
-        small_stage = fits_broadcast(stage)
 
     def inserted(rows: DataFrame) -> DataFrame:
         fresh = {created: stamp, updated: stamp}
@@ -171,8 +151,9 @@ def merge_upsert(
         side = right.withColumn(_REPEATED, F.lit(False))
     else:
         repeats = repeated_keys(stage, keys).select(*names)
-        single = split_join(right, repeats, names, "left_anti")
-        parts.append(inserted(split_join(right, repeats, names, "left_semi")))
+        flagged = split_join(right, repeats.withColumn(_REPEATED, F.lit(True)), names, "left")
+        parts.append(inserted(flagged.filter(F.col(_REPEATED).isNotNull())))
+        single = flagged.filter(F.col(_REPEATED).isNull()).drop(_REPEATED)
         side = single.withColumn(_REPEATED, F.lit(False)).unionByName(
             repeats.withColumn(_REPEATED, F.lit(True)), allowMissingColumns=True
         )
@@ -187,11 +168,8 @@ def merge_upsert(
         parts.append(left.filter(~_complete(nullable)).select(*columns))
         left = left.filter(_complete(nullable))
 
-    present = left.select(*names)
-    if small_stage:
-        # Only the few core keys that the stage has are shuffled for the inserts.
-        present = present.join(side.select(*names), names, "left_semi")
-    parts.append(inserted(single.join(present.distinct(), names, "left_anti")))
+    present = left.select(*names).distinct()
+    parts.append(inserted(single.join(present, names, "left_anti")))
 
     changed = set(updates)
     hit = F.col(_IN_STAGE).isNotNull()

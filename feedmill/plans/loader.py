@@ -25,7 +25,7 @@ from feedmill.functions.typing import (
     stamp_day,
     to_clock,
     to_day,
-    to_number,
+    exact_number,
     to_stamp,
 )
 from feedmill.operators.normalise import normalise, with_audit
@@ -83,13 +83,23 @@ class Landed:
 _STAMPS: dict[str, dict[str, Callable[[Column], Column]]] = {
     "inventory": {"Inv_Timestamp": lambda c: F.when(stamp_clock(c).isNotNull(), stamp_day(c))},
     "sensor": {"Trans_Timestamp": to_stamp},
-    "price_platts": {"Price_DateTime": compact_day},
+    "price_platts": {
+        "Price_DateTime": compact_day,
+        "Price_Code": lambda c: F.when(prices.known_kind(c), c),
+    },
+    # A blank date is a series without a quote.
+    "price_crack": {
+        f"{series}_Date": lambda c: F.when(F.trim(c) == "", F.lit("")).otherwise(
+            to_day(c).cast("string")
+        )
+        for series in prices.CRACK_SERIES
+    },
 }
 
 
 def typed_forms(spec: FeedSpec) -> dict[str, Column]:
     """Landed columns that have to read as a number, date or time."""
-    forms = {c: to_number(F.col(c)) for c in spec.numbers}
+    forms = {c: exact_number(F.col(c)) for c in spec.numbers}
     forms |= {c: to_day(F.col(c)) for c in spec.dates}
     forms |= {c: to_clock(F.col(c)) for c in spec.times}
     forms |= {c: f(F.col(c)) for c, f in _STAMPS.get(spec.name, {}).items()}
@@ -371,18 +381,24 @@ def load_feed(
     data_dir: str,
     load_ts,
     *,
-    on_reject: str = "quarantine",
+    on_reject: str | None = None,
     on_multi_match: str = "fail",
     archive: bool | None = None,
 ) -> LoadReport:
     """Run one feed. Without a single good row nothing is written.
 
+    Refused rows go to quarantine, or stop the load (``on_reject="fail"``). A
+    feed that replaces what the table holds stops unless asked otherwise, so a
+    bad file cannot take the place of good rows.
+
     Input files are archived (sensor feed, or where asked) only after the new
     version is published, and only those that were read.
     """
     landed = land(spark, spec, store, input_files(spark, spec, data_dir))
     report = landed.report
     try:
+        if on_reject is None:
+            on_reject = "fail" if spec.write in (RELOAD, REPLACE) else "quarantine"
         if report.rejected and on_reject == "fail":
             raise RejectedRows(f"{spec.name}: {report.rejected} of {report.scanned} rows refused")
         if landed.rows is not None:

@@ -167,14 +167,20 @@ def one_entry_per_code(dictionary: DataFrame) -> DataFrame:
     )
 
 
+def known_kind(code: Column) -> Column:
+    """Whether the last letter of a price code says which price it is."""
+    return F.right(F.upper(F.rtrim(code)), F.lit(1)).isin(*PRICE_KINDS)
+
+
 def platts_view(stage: DataFrame, dictionary: DataFrame) -> DataFrame:
     """One price per (code, time) to one row per (symbol, time).
 
     A code is a symbol and a last letter that says which price it is. The symbol
     is looked up in the price dictionary; symbols it lacks are kept undecoded.
+    Codes of an unknown kind make no row: the load reports them as refused.
     """
     code = F.upper(F.rtrim("Price_Code"))
-    quotes = stage.select(
+    quotes = stage.filter(known_kind(F.col("Price_Code"))).select(
         F.expr("substring(upper(rtrim(Price_Code)), 1, length(rtrim(Price_Code)) - 1)").alias(
             "Price_Code"
         ),

@@ -84,13 +84,11 @@ class TableStore:
         path = files.join(self._data(name), f"commit={commit}")
         # Rebalancing gives files of even size: small slices are put together in
         # a task, a slice that holds much of the data is split over several.
-        (
-            rows.select(*core.schema.names)
-            .withColumn(SLICE, core.slice_of(before["buckets"]))
-            .hint("rebalance", SLICE)
-            .write.partitionBy(SLICE)
-            .parquet(path)
-        )
+        # A table of one slice is written as it comes, without a shuffle.
+        sliced = rows.select(*core.schema.names).withColumn(SLICE, core.slice_of(before["buckets"]))
+        if core.slice_date or core.slices_by_hash:
+            sliced = sliced.hint("rebalance", SLICE)
+        sliced.write.partitionBy(SLICE).parquet(path)
         written = {s: commit for s in self._written(path)}
         if replaced is None:
             kept = {}

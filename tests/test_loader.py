@@ -145,12 +145,49 @@ def test_no_good_row_leaves_the_table_alone(spark, store, tmp_path):
     data = drop(tmp_path, spec, [sample(spec)])
     load_feed(spark, spec, store, data, T1)
     assert not load_feed(spark, spec, store, drop(tmp_path, spec, []), T2).written
-    assert not load_feed(spark, spec, store, drop(tmp_path, spec, [["short"]]), T2).written
+    short = drop(tmp_path, spec, [["short"]])
+    assert not load_feed(spark, spec, store, short, T2, on_reject="quarantine").written
     assert not load_feed(spark, spec, store, str(tmp_path / "nothing"), T2).written
     assert store.read("container").count() == 1
     assert store.manifest("container")["version"] == 1
 
 
+def test_reload_with_a_refused_row_leaves_the_old_version(spark, store, tmp_path):
+    spec = feed("container")
+    load_feed(spark, spec, store, drop(tmp_path, spec, [sample(spec, i) for i in range(3)]), T1)
+    digits = sample(spec, 1)
+    digits[spec.columns.index("Min_Op_Qty")] = "3.14159"  # the type would drop a digit
+    data = drop(tmp_path, spec, [sample(spec), digits])
+    with pytest.raises(RejectedRows):
+        load_feed(spark, spec, store, data, T2)
+    assert store.read("container").count() == 3 and store.manifest("container")["version"] == 1
+    report = load_feed(spark, spec, store, data, T2, on_reject="quarantine")
+    assert (report.rejected, store.read("container").count()) == (1, 1)
+    found = spark.read.parquet(f"{store.root}/quarantine/container")
+    assert {r["reason"] for r in found.collect()} == {"type:Min_Op_Qty"}
+
+
+def test_quotes_that_no_view_can_place_are_reported(spark, store, tmp_path):
+    crack = feed("price_crack")
+    good = ["2024-01-02", "70.5", "2024-01-02", "2.1", "2024-01-02", "2.5"]
+    rows = [good, [*good[:2], "1/2/2024", *good[3:]]]
+    report = load_feed(spark, crack, store, drop(tmp_path, crack, rows), T1)
+    assert (report.scanned, report.rejected) == (2, 1)
+    platts = feed("price_platts")
+    needed(spark, store, tmp_path, platts)
+    rows = [["N", f"PAAAA0{c}", "20240115153000", "5"] for c in ("0H", "0O", "0U", "0W")]
+    report = load_feed(spark, platts, store, drop(tmp_path, platts, rows), T1)
+    assert (report.scanned, report.rejected) == (4, 1)
+    reasons = [
+        r["reason"]
+        for n in ("price_crack", "price_platts")
+        for r in spark.read.parquet(f"{store.root}/quarantine/{n}").collect()
+    ]
+    assert reasons == ["type:Gasoline_Date", "type:Price_Code"]
+    rows = store.read("price").filter("Price_Code = 'PAAAA00'").collect()
+    assert [(r["Price_High"], r["Price_Index"], r["Price_Volume"]) for r in rows] == [(5, 5, 5)]
+
+
 def test_bad_rows_go_to_quarantine_with_a_reason(spark, store, tmp_path):
     spec = feed("cost")
     good = ["Loc", "P", "F", "2024-01-15", "8:05", "Fuel", "12.5"]

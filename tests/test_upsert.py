@@ -54,9 +54,8 @@ def run(spark, core, stage, **how):
     return sorted((tuple(r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_equals_the_model(spark, small, seed):
+def test_equals_the_model(spark, seed):
     rnd = random.Random(seed)
     spell = [lambda s: s, str.upper, lambda s: s + "  "]
     core_keys = [(f"k{i}", j) for i in range(12) for j in range(2)] + [(None, 1)] * 5
@@ -67,15 +66,14 @@ def test_equals_the_model(spark, small, seed):
         stage.append((rnd.choice(spell)(f"k{i}"), 0, rnd.choice(["new", None]), 2))
     stage += [("hot", 7, f"copy{i}", i) for i in range(40)]
     stage += [(None, 1, "nokey", 3)] * 30 + [("k3", None, "nokey", 4)]
-    assert run(spark, core, stage, small_stage=small) == model(core, stage)
+    assert run(spark, core, stage) == model(core, stage)
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_core_row_hit_twice_is_an_error(spark, small):
+def test_core_row_hit_twice_is_an_error(spark):
     core = [("a", 1, "x", 1), ("b", 1, "x", 1)]
     stage = [("A", 1, "y", 1), ("a ", 1, "z", 1)]
     with pytest.raises(Exception, match="several stage rows match one core row"):
-        run(spark, core, stage, small_stage=small)
+        run(spark, core, stage)
 
 
 def test_multi_match_lists_the_keys(spark):
@@ -84,12 +82,11 @@ def test_multi_match_lists_the_keys(spark):
     assert [tuple(r) for r in multi_match(core, stage, ["k1", "k2"]).collect()] == [("a", 1, 2)]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_rerun_changes_nothing_but_the_update_time(spark, small):
+def test_rerun_changes_nothing_but_the_update_time(spark):
     core = [("a", 1, "x", 1)]
     stage = [("A", 1, "y", 5), ("n", 2, "z", 6)]
-    once = run(spark, core, stage, small_stage=small)
-    again = run(spark, [r[:4] for r in once], stage, small_stage=small)
+    once = run(spark, core, stage)
+    again = run(spark, [r[:4] for r in once], stage)
     assert [r[:4] for r in once] == [r[:4] for r in again]
 
 
