@@ -116,12 +116,18 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 
     total = summed_states(learn.select("text").mapInArrow(frequencies, STATE_SCHEMA), FEATURES + 1)
     idf = (np.log((1 + total[-1]) / (1 + total[:-1])) + 1).astype(np.float32)
-    languages = sorted(r["_lang"] for r in learn.select("_lang").distinct().collect())
+    rows_of = {r["_lang"]: r["n"] for r in learn.groupBy("_lang").agg(F.count("_lang").alias("n")).collect()}
+    languages = sorted(rows_of)
     if not languages:
         return Model(idf, [], np.zeros((0, FEATURES), np.float32), np.zeros(0, int), np.zeros(0))
     each = max(1, sample_rows // len(languages))
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id", F.lit(3)), "_id")
-    some = learn.select("_id", "_lang").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= each).drop("n").distinct()
+    order = Window.partitionBy("_lang").orderBy("_place", "_id")
+    # The least places in hash order; a bound on the place, about twice the rows wanted, thins a large language before the shuffle.
+    bounds = [(lang, int(min(1.0, 2 * each / n) * ((1 << 64) - 1)) - (1 << 63)) for lang, n in rows_of.items()]
+    bounds = docs.sparkSession.createDataFrame([(lang, min(b, (1 << 63) - 1)) for lang, b in bounds], "_lang string, _bound long")
+    placed = learn.select("_id", "_lang", F.xxhash64("_id", F.lit(3)).alias("_place"))
+    few = placed.join(F.broadcast(bounds), "_lang").filter("_place <= _bound").select("_id", "_lang", "_place").distinct()
+    some = few.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= each).select("_id", "_lang")
     # At most ``sample_rows`` rows of an id and a language.
     wanted = docs.sparkSession.createDataFrame(some.collect(), "_id long, _lang string")
 
