@@ -69,6 +69,17 @@ def stage_duplicate_keys(spark, sf_dir):
     return duplicate_keys(source(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+SEGMENTS = """
+    SELECT CASE WHEN c_custkey % 2 = 0 THEN concat(c_mktsegment, '  ') ELSE lower(c_mktsegment)
+           END AS segment, c_nationkey AS nation
+    FROM {customer}
+"""
+
+
+def stage_duplicate_text_keys(spark, sf_dir):
+    return duplicate_keys(derive(spark, sf_dir, SEGMENTS), ["segment", "nation"])
+
+
 AUDITED = {
     "orders": (
         "SELECT l_orderkey * 2 AS k, l_returnflag = 'R' AS bad FROM {lineitem}",
@@ -278,6 +289,13 @@ QUERIES = [
         "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem "
         "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
     ),
+    Query(
+        "stage_duplicate_text_keys",
+        stage_duplicate_text_keys,
+        "SELECT lower(rtrim(segment)) AS segment, nation, count(*) AS copies "
+        f"FROM ({plain(SEGMENTS)}) s WHERE segment IS NOT NULL AND nation IS NOT NULL "
+        "GROUP BY 1, 2 HAVING count(*) > 1",
+    ),
     Query(
         "audit_row_counts",
         audit_row_counts,

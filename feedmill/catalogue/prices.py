@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -156,15 +156,19 @@ def price_view_pivot(spark, sf_dir):
     return shown(_platts(spark, sf_dir))
 
 
-def price_all_sources(spark, sf_dir):
-    """Five feeds, one upsert, into a price table that holds older quotes: crack and
+SOURCES = {
+    "crack": lambda spark, sf_dir: _crack(spark, sf_dir, CRACK_DAILY),
+    "futures": lambda spark, sf_dir: _futures(spark, sf_dir, FUTURES_DAILY),
+    "feedstock": lambda spark, sf_dir: _opis(spark, sf_dir, OPIS_DAILY)[0],
+    "spot": lambda spark, sf_dir: _opis(spark, sf_dir, OPIS_DAILY)[1],
+    "platts": _platts,
+}
+
+
+def price_upsert(spark, sf_dir, names=tuple(SOURCES)):
+    """Feeds in one upsert into a price table that holds older quotes: crack and
     spot ones with other prices, and weekly futures that no file brings again."""
-    stage = prices.all_quotes(
-        _crack(spark, sf_dir, CRACK_DAILY),
-        _futures(spark, sf_dir, FUTURES_DAILY),
-        *_opis(spark, sf_dir, OPIS_DAILY),
-        _platts(spark, sf_dir),
-    )
+    stage = prices.all_quotes(*[SOURCES[n](spark, sf_dir) for n in names])
     core = prices.all_quotes(
         _crack(spark, sf_dir, CRACK_DAILY),
         _opis(spark, sf_dir, OPIS_DAILY)[1],
@@ -282,7 +286,7 @@ def _platts_sql() -> str:
     )
 
 
-def _all_sources_sql() -> str:
+def _upsert_sql(names=tuple(SOURCES)) -> str:
     views = {
         "crack": _crack_sql(CRACK_DAILY),
         "futures": _futures_sql(FUTURES_DAILY),
@@ -290,7 +294,7 @@ def _all_sources_sql() -> str:
         "spot": _opis_sql(OPIS_DAILY, "SPOT"),
         "platts": _platts_sql(),
     }
-    stage = " UNION ALL ".join(f"SELECT * FROM ({v}) {name}" for name, v in views.items())
+    stage = " UNION ALL ".join(f"SELECT * FROM ({v}) {name}" for name, v in views.items() if name in names)
     views["weekly"] = "SELECT " + ", ".join(
         "'W' AS Price_Freq" if c == "Price_Freq" else c for c in PRICE_COLUMNS
     ) + f" FROM ({views['futures']}) f"
@@ -316,5 +320,6 @@ QUERIES = [
         f"{_opis_sql(OPIS, 'FEEDSTOCK')} UNION ALL {_opis_sql(OPIS, 'SPOT')}",
     ),
     Query("price_view_pivot", price_view_pivot, _platts_sql()),
-    Query("price_all_sources", price_all_sources, _all_sources_sql()),
+    Query("price_all_sources", price_upsert, _upsert_sql()),
+    *[Query(f"price_upsert_{n}", partial(price_upsert, names=(n,)), _upsert_sql((n,))) for n in SOURCES],
 ]

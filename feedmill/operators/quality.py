@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedmill.functions.text import too_wide
 from feedmill.operators.reshape import unpivot
-from feedmill.operators.upsert import _key_names, with_match_keys
+from feedmill.operators.upsert import _key_names, repeated_keys, with_match_keys
 
 
 def null_violations(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -34,8 +34,11 @@ def width_violations(df: DataFrame, ids: Sequence[str], widths: dict[str, int])
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys held by more than one row, with the number of rows."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    """Keys held by more than one row as joins compare them, with the number of rows.
+
+    Text keys come in their compared form. A NULL in the key equals nothing.
+    """
+    return repeated_keys(df, keys).withColumnsRenamed(dict(zip(_key_names(keys), keys)))
 
 
 def row_fault(

@@ -8,6 +8,7 @@ need, and losing an executor costs no re-read of the drop files.
 from __future__ import annotations
 
 import fnmatch
+import re
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -156,18 +157,31 @@ def landing(spark: SparkSession, kept: DataFrame, path: str) -> DataFrame:
 
 
 def land(
-    spark: SparkSession, spec: FeedSpec, store: TableStore, paths: Sequence[str]
+    spark: SparkSession, spec: FeedSpec, store: TableStore, paths: Sequence[str], load: str
 ) -> Landed:
     """Scan files once into checked Parquet.
 
     Files in which a quoted cell seems to run over a line end are scanned again,
-    record by record; the others stay splittable.
+    record by record; the others stay splittable. What an earlier run of the
+    same load set aside goes first.
     """
     report = LoadReport(spec.name, list(paths))
     base = files.join(work_folder(spark, store), f"{spec.name}-{uuid.uuid4().hex}")
-    path = files.join(base, "stage")
     if not paths:
         return Landed(spec, base, report, None)
+    files.delete_tree(spark, _set_aside(store, spec, load))
+    try:
+        rows = _landed_rows(spark, spec, store, report, base, load)
+    except BaseException:
+        files.delete_tree(spark, base)
+        raise
+    return Landed(spec, base, report, rows)
+
+
+def _landed_rows(
+    spark: SparkSession, spec: FeedSpec, store: TableStore, report: LoadReport, base: str, load: str
+) -> DataFrame | None:
+    paths, path = report.files, files.join(base, "stage")
     landed, counts = _write_landing(scan(spark, spec, paths), spec, path)
     if counts["run_on"]:
         uris = landed.filter(RUN_ON).select(FILE).distinct().collect()
@@ -176,18 +190,28 @@ def land(
         path = files.join(base, "stage-records")
         landed, counts = _write_landing(scan(spark, spec, paths, whole), spec, path)
     report.scanned, report.rejected = counts["scanned"], counts["rejected"]
-    rows = landed.filter("_ok") if report.scanned > report.rejected else None
     if report.rejected:
-        quarantine(store, spec, refused(landed))
-    return Landed(spec, base, report, rows)
+        quarantine(store, spec, refused(landed), load, "refused")
+    return landed.filter("_ok") if report.scanned > report.rejected else None
 
 
 def refused(landed: DataFrame) -> DataFrame:
     return landed.filter("NOT _ok").select(RAW, FILE, F.col(FAULT).alias("reason"))
 
 
-def quarantine(store: TableStore, spec: FeedSpec, rows: DataFrame) -> None:
-    rows.write.mode("append").parquet(files.join(store.root, "quarantine", spec.name))
+def load_id(load_ts) -> str:
+    """A load's name in quarantine: its time, as a folder name."""
+    return re.sub(r"[^0-9A-Za-z.-]+", "_", str(load_ts))
+
+
+def _set_aside(store: TableStore, spec: FeedSpec, load: str) -> str:
+    return files.join(store.root, "quarantine", spec.name, f"load={load}")
+
+
+def quarantine(store: TableStore, spec: FeedSpec, rows: DataFrame, load: str, step: str) -> None:
+    """Set rows aside in a folder per load and step: a rerun replaces what it set aside before."""
+    path = files.join(_set_aside(store, spec, load), f"step={step}")
+    rows.write.mode("overwrite").parquet(path)
 
 
 # --------------------------------------------------------------------------
@@ -295,7 +319,7 @@ def _nullable(spec: FeedSpec) -> list[str]:
     return [k for k in spec.nullable_keys if k in set(spec.columns)] if spec.table != "price" else []
 
 
-def _report_unmapped(landed: Landed, store: TableStore) -> None:
+def _report_unmapped(landed: Landed, store: TableStore, load: str) -> None:
     """Set aside a copy of the readings that the inner decode joins will drop."""
     seen = Observation()
     lost = plant.inventory_unmapped(
@@ -309,6 +333,8 @@ def _report_unmapped(landed: Landed, store: TableStore) -> None:
             FILE,
             F.concat(F.lit("unmapped:"), F.col("missing")).alias("reason"),
         ),
+        load,
+        "unmapped",
     )
     landed.report.unmapped = seen.get.get("rows") or 0
 
@@ -328,11 +354,11 @@ def _write(
     if spec.write == REPLACE:
         return replace_blend_lab(store, rows, load_ts)
     if spec.name == "inventory":
-        _report_unmapped(landed, store)
+        _report_unmapped(landed, store, load_id(load_ts))
     rows = settled(spark, rows, landed.path)
     if spec.write == SENSOR:
         return load_sensor_readings(store, rows, load_ts)
-    rows = _without_conflicts(landed, rows, store, on_multi_match)
+    rows = _without_conflicts(landed, rows, store, on_multi_match, load_id(load_ts))
     version, _ = upsert(
         store,
         spec.table,
@@ -346,7 +372,7 @@ def _write(
 
 
 def _without_conflicts(
-    landed: Landed, rows: DataFrame, store: TableStore, on_multi_match: str
+    landed: Landed, rows: DataFrame, store: TableStore, on_multi_match: str, load: str
 ) -> DataFrame:
     """Set aside rows that would update one core row several times, if so asked.
 
@@ -370,6 +396,8 @@ def _without_conflicts(
             F.lit(None).cast("string").alias(FILE),
             F.lit("multi_match").alias("reason"),
         ),
+        load,
+        "multi_match",
     )
     return without_keys(rows, conflicts, spec.keys)
 
@@ -387,14 +415,15 @@ def load_feed(
 ) -> LoadReport:
     """Run one feed. Without a single good row nothing is written.
 
-    Refused rows go to quarantine, or stop the load (``on_reject="fail"``). A
+    ``load_ts`` names the load: a rerun with the same time replaces what the
+    first run set aside. Refused rows go to quarantine, or stop the load (``on_reject="fail"``). A
     feed that replaces what the table holds stops unless asked otherwise, so a
     bad file cannot take the place of good rows.
 
     Input files are archived (sensor feed, or where asked) only after the new
     version is published, and only those that were read.
     """
-    landed = land(spark, spec, store, input_files(spark, spec, data_dir))
+    landed = land(spark, spec, store, input_files(spark, spec, data_dir), load_id(load_ts))
     report = landed.report
     try:
         if on_reject is None:
@@ -420,7 +449,7 @@ def load_prices(
     load_ts,
 ) -> list[LoadReport]:
     """Several price feeds in one upsert, so that the price table is rewritten once."""
-    landings = [land(spark, s, store, input_files(spark, s, data_dir)) for s in specs]
+    landings = [land(spark, s, store, input_files(spark, s, data_dir), load_id(load_ts)) for s in specs]
     ready = [x for x in landings if x.rows is not None]
     try:
         if ready:

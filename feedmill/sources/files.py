@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,7 +53,7 @@ def read_json(spark: SparkSession, path: str):
 def write_new_json(spark: SparkSession, path: str, value) -> None:
     """Publish a file in one step: write aside, then rename; never replace."""
     fs = file_system(spark, path)
-    aside = _path(spark, path + ".tmp")
+    aside = _path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
     stream = fs.create(aside, True)
     try:
         stream.write(bytearray(json.dumps(value, indent=1).encode()))
@@ -60,6 +61,7 @@ def write_new_json(spark: SparkSession, path: str, value) -> None:
         stream.close()
     target = _path(spark, path)
     if fs.exists(target) or not fs.rename(aside, target):
+        fs.delete(aside, False)
         raise FileExistsError(f"another writer has published {path}")
 
 

@@ -46,10 +46,12 @@ def sensor_stream(
     return checked(scan_stream(spark, spec, folder, **options), spec)
 
 
-def sensor_batch(store: TableStore, clock: Callable[[], object]) -> Callable[[DataFrame, int], None]:
-    """What is done with one batch of checked rows."""
+def sensor_batch(
+    store: TableStore, clock: Callable[[], object], stream: str = "stream"
+) -> Callable[[DataFrame, int], None]:
+    """What is done with one batch of checked rows. A replayed batch has the same load name."""
 
-    def handle(rows: DataFrame, _batch: int) -> None:
+    def handle(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
         base = files.join(work_folder(spark, store), f"sensor-batch-{uuid.uuid4().hex}")
         path = files.join(base, "stage")
@@ -63,7 +65,7 @@ def sensor_batch(store: TableStore, clock: Callable[[], object]) -> Callable[[Da
             landed = landing(spark, rows, path)
             bad, good = refused(landed), landed.filter("_ok")
             if not bad.isEmpty():
-                quarantine(store, feed("sensor"), bad)
+                quarantine(store, feed("sensor"), bad, f"{stream}-{batch}", "refused")
             if good.isEmpty():
                 return
             readings = settled(spark, sensor_readings(good, (ARRIVAL, ROW)), base)
@@ -86,9 +88,11 @@ def ingest_sensor_drop(
 ) -> StreamingQuery:
     """Take in everything that is in the folder now, then stop."""
     now = clock or (lambda: datetime.now(UTC).replace(tzinfo=None).isoformat(" ", "seconds"))
+    # Batches are counted per checkpoint.
+    stream = f"stream-{uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex[:12]}"
     return (
         sensor_stream(spark, folder, archive_dir, max_files)
-        .writeStream.foreachBatch(sensor_batch(store, now))
+        .writeStream.foreachBatch(sensor_batch(store, now, stream))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

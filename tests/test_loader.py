@@ -203,6 +203,7 @@ def test_bad_rows_go_to_quarantine_with_a_reason(spark, store, tmp_path):
     data = drop(tmp_path, spec, rows)
     report = load_feed(spark, spec, store, data, T1)
     assert (report.scanned, report.rejected) == (7, 6)
+    assert load_feed(spark, spec, store, data, T1).rejected == 6  # a rerun sets nothing aside twice
     assert store.read("cost").first()["Cost_Time"] == "08:05:00"
     found = spark.read.parquet(f"{store.root}/quarantine/cost")
     assert sorted(r["reason"] for r in found.collect()) == [
@@ -211,7 +212,7 @@ def test_bad_rows_go_to_quarantine_with_a_reason(spark, store, tmp_path):
     ]
     with pytest.raises(RejectedRows):
         load_feed(spark, spec, store, data, T2, on_reject="fail")
-    assert store.manifest("cost")["version"] == 1
+    assert store.manifest("cost")["version"] == 2
 
 
 def test_quoted_line_ends_are_loaded_whole(spark, store, tmp_path):
