@@ -312,7 +312,7 @@ def feed_sensor(spark, sf_dir):
     spec = feed("sensor")
     readings = plant.sensor_readings(derive(spark, sf_dir, SENSOR_WIDE))
     core = derive(spark, sf_dir, SENSOR_CORE).selectExpr(
-        "Ref_Location", "Tag_ID", "cast(Trans_Timestamp AS timestamp) AS Trans_Timestamp", "Tag_Value"
+        "Ref_Location", "Tag_ID", "cast(Trans_Timestamp AS timestamp_ntz) AS Trans_Timestamp", "Tag_Value"
     )
     return shown(
         merge_upsert(

@@ -66,7 +66,7 @@ def compact_clock(c: Column) -> Column:
 
 
 def to_stamp(c: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text."""
+    """``yyyy-MM-dd HH:mm:ss`` text as the plant's own time, in no zone."""
     text = F.trim(c)
     form = (
         (F.length(text) == 19)
@@ -75,14 +75,14 @@ def to_stamp(c: Column) -> Column:
         & (F.substring(text, 14, 1) == ":")
         & (F.substring(text, 17, 1) == ":")
     )
-    return F.when(form, text.try_cast("timestamp"))
+    return F.when(form, text.try_cast("timestamp_ntz"))
 
 
 def as_typed(c: Column, kind: str) -> Column:
-    """Text to the core type ``kind`` (string, date, timestamp or a decimal)."""
+    """Text to the core type ``kind`` (string, date, timestamp_ntz or a decimal)."""
     if kind == "date":
         return to_day(c)
-    if kind == "timestamp":
+    if kind == "timestamp_ntz":
         return to_stamp(c)
     if kind.startswith("decimal"):
         return to_number(c, kind)

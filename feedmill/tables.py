@@ -48,7 +48,7 @@ class CoreTable:
 
     def slice_of(self, buckets: int) -> Column:
         if self.slice_date:
-            return F.coalesce(F.date_format(self.slice_date, "yyyy-MM-dd"), F.lit("none"))
+            return F.coalesce(F.col(self.slice_date).cast("date").cast("string"), F.lit("none"))
         if self.slices_by_hash:
             parts = [match_form(F.col(k)) for k in self.keys]
             return F.format_string("%05d", F.pmod(F.xxhash64(*parts), F.lit(buckets)))
@@ -61,6 +61,7 @@ _TYPES = {
     "string": T.StringType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
     NUMBER: T.DecimalType(18, 4),
 }
 
@@ -147,7 +148,7 @@ def _tables() -> dict[str, CoreTable]:
             {
                 "Ref_Location": "string",
                 "Tag_ID": "string",
-                "Trans_Timestamp": "timestamp",
+                "Trans_Timestamp": "timestamp_ntz",
                 "Tag_Value": "string",
             },
             keys=FEEDS["sensor"].keys,

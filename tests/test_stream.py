@@ -90,3 +90,21 @@ def test_files_one_by_one(run):
         (folder / f"f{i}.csv").write_text(HEAD + wide(f"2024-01-0{i + 1} 00:00:00", ("T", str(i))))
     go("2024-02-01 00:00:00", max_files=1)
     assert store.manifest("sensor")["version"] == 3 and len(values(store)) == 3
+
+
+def test_times_are_the_plants_own(spark, run):
+    store, folder, go = run
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        times = ("02:30", "03:30", "23:30")  # the first is skipped there by summer time
+        body = "".join(wide(f"2024-03-10 {t}:00", ("T", t[:2])) for t in times)
+        (folder / "a.csv").write_text(HEAD + body)
+        go("2024-04-01 00:00:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    (folder / "b.csv").write_text(HEAD + wide("2024-03-10 23:30:00", ("T", "new")))
+    go("2024-04-02 00:00:00")
+    want = {"02:30": "02", "03:30": "03", "23:30": "new"}
+    assert values(store) == {("T", f"2024-03-10 {t}:00"): v for t, v in want.items()}
+    assert list(store.manifest("sensor")["slices"]) == ["2024-03-10"]
