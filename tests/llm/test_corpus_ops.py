@@ -333,3 +333,57 @@ def test_line_dedup(docs, odd):
     assert got[1]["n_dropped"] == 0 and got[2]["n_dropped"] == 1 and got[None]["kept_chars"] == 0 and got[4]["n_lines"] == 0
     left = line_dedup.dedup_documents(odd)
     assert left.columns == odd.columns and {r["doc_id"] for r in left.collect()} == {1, 2, 3, 4, 5, 6, 7, 8, 10, 11}
+
+
+def word_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_line_dedup_finds_changed_lines(spark):
+    """Words changed at random places: nearly all lines at the similarity go, and none below it."""
+    random = np.random.default_rng(7)
+    rows, many = [], Counter()
+    for words, changed in ((5, 1), (8, 1), (9, 1), (10, 1), (10, 2), (12, 2), (15, 3), (16, 3), (19, 3), (20, 1), (20, 4), (40, 4), (40, 8), (80, 8), (80, 16), (5, 2), (20, 5), (40, 9)):
+        for _ in range(20):
+            line = [f"w{k}" for k in random.integers(0, 10**9, words)]
+            other = list(line)
+            for at in random.choice(words, changed, replace=False):
+                other[at] = f"x{random.integers(0, 10**9)}"
+            rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(other))]
+            many[words, changed] += 1
+    sizes = [key for key, n in many.items() for _ in range(n)]
+    got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(got[k] for k in range(0, len(rows), 2))
+    found = Counter(key for k, key in enumerate(sizes) if got[2 * k + 1])
+    for (words, changed), n in many.items():
+        if changed > words // 5:
+            assert not found[words, changed]
+        else:
+            assert found[words, changed] >= (n if words < 20 else 0.9 * n), (words, changed)
+
+
+def test_line_dedup_recall_of_pairs(docs):
+    """All pairs by brute force; what goes is what goes by them."""
+    at = defaultdict(list)
+    for doc, text in sorted(texts(docs).items()):
+        for pos, line in enumerate((text or "").split("\n")):
+            norm = re.sub(r"[\W_]+", " ", line.lower()).strip()
+            if len(norm.split(" ")) >= line_dedup.MIN_WORDS:
+                at[norm].append((doc, pos))
+    words = [n.split(" ") for n in at]
+    bags = [Counter(w) for w in words]
+
+    def linked(a, b):
+        n, m = len(words[a]), len(words[b])
+        most = max(n, m) // 5
+        return abs(n - m) <= most and (bags[a] & bags[b]).total() >= max(n, m) - most and word_edits(words[a], words[b]) <= most
+
+    group, places = brute.groups(len(words), linked), list(at.values())
+    want = {p for k, g in enumerate(group) for p in places[k] if p != places[g][0]}
+    got = {(r["doc"], p) for r in line_dedup.surplus_lines(docs).collect() for p in r["places"]}
+    assert got <= want and len(got) >= 0.98 * len(want), (len(got), len(want))
