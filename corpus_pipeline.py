@@ -18,7 +18,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of alike lines the first occurrence stays; documents with nothing left go."""
-    return line_dedup.dedup_documents(docs)
+    return line_dedup.dedup_documents(docs, min_words=1)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

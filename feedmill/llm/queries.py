@@ -51,7 +51,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_report(_table(spark, sf_dir, "documents"))
+    return line_dedup.dedup_report(_table(spark, sf_dir, "documents"), min_words=1)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

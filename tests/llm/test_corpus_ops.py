@@ -387,3 +387,13 @@ def test_line_dedup_recall_of_pairs(docs):
     want = {p for k, g in enumerate(group) for p in places[k] if p != places[g][0]}
     got = {(r["doc"], p) for r in line_dedup.surplus_lines(docs).collect() for p in r["places"]}
     assert got <= want and len(got) >= 0.98 * len(want), (len(got), len(want))
+
+
+def test_short_lines_take_part(spark, tmp_path):
+    from feedmill.llm.queries import op10_line_dedup
+
+    chinese = "版权所有未经许可不得转载本网站的任何内容"
+    rows = [(1, "All rights reserved.\n" + chinese + "\none two three four"), (2, "alpha\nALL rights reserved\n" + chinese.replace("转", "复")), (3, "--\none two three more four\nbeta\nbeta\n--")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["n_dropped"] for r in op10_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: 0, 2: 2, 3: 2}
