@@ -397,3 +397,12 @@ def test_short_lines_take_part(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: r["n_dropped"] for r in op10_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {1: 0, 2: 2, 3: 2}
+
+
+def test_wrapped_licenses(spark):
+    gpl = "# This program is free software: you can redistribute it and/or\n# modify it under the terms of the GNU\n# General Public License."
+    mit = "Some words before it. Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this software and\nassociated documentation files. And words after it"
+    rows = [(1, gpl), (2, mit), (3, "Anna was here. All rights\nreserved."), (4, "a licence to fish\nand to hunt in the woods\n\nnothing more"), (5, "text\n\n" + gpl + "\n\n" + mit), (6, None)]
+    model = license_scan.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    got = {r["doc_id"]: r["licenses"] for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got == {1: "GPL", 2: "MIT", 3: "proprietary", 4: "", 5: "GPL,MIT", 6: ""}
