@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +53,30 @@ def crc_mod(column: str, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Runs of rows with equal keys in a sorted stream, with the keys; a run may cross batches."""
+    held: list[pa.RecordBatch] = []
+    before = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(batch.schema.get_field_index(k)) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for column in columns:
+            if batch.num_rows > 1:
+                change[1:] |= pc.fill_null(pc.not_equal(column[1:], column[:-1]), True).to_numpy(zero_copy_only=False)
+        starts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(starts, starts[1:]):
+            key = tuple(c[a].as_py() for c in columns)
+            if held and key != before:
+                yield before, pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            before = key
+    if held:
+        yield before, pa.Table.from_batches(held)
+
+
 # -- arrays of integers that every task gathers and that are summed over tasks
 
 SLICE = 1 << 14
