@@ -2,8 +2,48 @@
 
 from __future__ import annotations
 
+from .quality_rules import RULES, STOP_WORDS
+
 SQL: dict[str, str] = {}
 
+_RULES = """
+  CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS mean_word_chars,
+  CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS symbols_per_word,
+  CASE WHEN n_words > 0 THEN stop_words / n_words ELSE 0 END AS stop_word_ratio,
+  CASE WHEN len(lines) > 0 THEN n_dup_lines / len(lines) ELSE 0 END AS duplicate_line_ratio,
+  CASE WHEN letters > 0 THEN capitals / letters ELSE 0 END AS capital_ratio,
+  CASE WHEN n_words > 0 THEN exclamations / n_words ELSE 0 END AS exclamations_per_word
+"""
+_BOUNDS = " AND ".join(
+    f"(n_words < {r.from_words} OR ({r.name} >= {-1e300 if r.low is None else r.low} AND {r.name} <= {1e300 if r.high is None else r.high}))" for r in RULES
+)
+
+SQL["op1_quality_rules"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), often AS (
+  SELECT r, i FROM d, unnest(range(0, len(w) - 4)) AS x(i) WHERE len(w) >= 5
+  QUALIFY count(*) OVER (PARTITION BY r, array_to_string(w[i + 1 : i + 5], ' ')) > 1
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM often, unnest(range(i, i + 5)) AS x(p) GROUP BY r
+), figures AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words, lines,
+         len(list_filter(w, lambda x: list_contains({list(dict.fromkeys(STOP_WORDS))}, lower(x)))) AS stop_words,
+         length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS capitals, length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) AS letters,
+         length(t) - length(translate(t, '!', '')) AS exclamations
+  FROM d LEFT JOIN covered USING (r)
+), ratios AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {_RULES} FROM figures
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_BOUNDS} AS kept,
+       {", ".join(r.name for r in RULES)}
+FROM ratios
+"""
+
 SQL["op11_hard_negatives"] = """
 WITH rows AS (
   SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

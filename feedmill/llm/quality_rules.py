@@ -64,7 +64,8 @@ def base_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeated = (
         "CASE WHEN many AND size(p) > 0 THEN 5 + aggregate(zip_with(slice(p, 1, size(p) - 1), slice(p, 2, size(p) - 1), (a, b) -> least(5, b - a)), 0L, (n, x) -> n + x) ELSE 0L END"
     )
-    lines = F.expr(f"filter(split(t, '\\n', -1), l -> l rlike '{WORD}')")
+    # Not as SQL text, whose string literals would lose the pattern's backslashes.
+    lines = F.filter(F.split("t", "\n", -1), lambda line: line.rlike(WORD))
     return df.select(
         "doc_id",
         F.size("w").cast("long").alias("n_words"),

@@ -14,6 +14,8 @@ from tokenizers import Tokenizer
 from feedmill.llm import components, embedding_neardup, language_id, license_scan, line_dedup, mixing, packing, quality_classifier, quality_rules, simhash_neardup, token_output
 from feedmill.llm.tokens import encoder
 
+#: Words from which on the plain versions compare lines.
+LINE_WORDS = 5
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, taken long, fp string, kept boolean"
 LINE = " ".join(f"word{k}" for k in range(200))
 ROWS = [
@@ -51,8 +53,14 @@ def texts(df):
     return {r["doc_id"]: r["text"] for r in df.select("doc_id", "text").collect()}
 
 
-def test_quality_rules(odd, none, docs):
-    for df in (odd, docs):
+#: Lines without letters beyond x, digits, and white space: patterns must keep their backslashes.
+REPEATED_LINES = ["hello\nhello\nx y", "Menu\nMenu\nMenu\nHome", "abc\nabc", "99\n99", "x20\nx20", "  \n  \na b", "\t\t\n\t\t\n", "a\n\n\na", "zz\nzz", "\x0b\n\x0b"]
+
+
+def test_quality_rules(spark, odd, none, docs):
+    lines = spark.createDataFrame(list(enumerate(REPEATED_LINES)), "doc_id long, text string")
+    assert [r["n_dup_lines"] for r in quality_rules.quality_rules(lines).orderBy("doc_id").collect()] == [1, 2, 1, 1, 1, 0, 0, 1, 1, 0]
+    for df in (odd, docs, lines):
         want = Counter((r["doc_id"], *brute.base_figures(r["text"])) for r in df.select("doc_id", "text").collect())
         names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
         got = quality_rules.quality_rules(df).collect()
@@ -312,7 +320,7 @@ def plain_lines(rows):
     for doc, text in rows:
         for pos, line in enumerate((text or "").split("\n")):
             norm = re.sub(r"[\W_]+", " ", line.lower()).strip()
-            if len(norm.split(" ")) >= line_dedup.MIN_WORDS:
+            if len(norm.split(" ")) >= LINE_WORDS:
                 found.append((doc, pos, norm))
     first = {}
     for doc, pos, norm in found:
@@ -323,15 +331,15 @@ def plain_lines(rows):
 def test_line_dedup(docs, odd):
     rows = sorted(texts(docs).items())
     exact, _ = plain_lines(rows)
-    gone = {(r["doc"], p) for r in line_dedup.surplus_lines(docs).collect() for p in r["places"]}
+    gone = {(r["doc"], p) for r in line_dedup.surplus_lines(docs, LINE_WORDS).collect() for p in r["places"]}
     assert exact <= gone  # fuzzy links only add to equal lines
     lines = {d: t.split("\n") for d, t in rows}
     for doc, pos in gone - exact:  # each is close to a line that stays
         words = re.sub(r"[\W_]+", " ", lines[doc][pos].lower()).split()
         assert any(len(set(words) & set(re.sub(r"[\W_]+", " ", x.lower()).split())) >= 0.7 * len(set(words)) for d, ls in lines.items() for p, x in enumerate(ls) if (d, p) != (doc, pos) and (d, p) not in gone)
-    got = {r["doc_id"]: r for r in line_dedup.dedup_report(odd).collect()}
+    got = {r["doc_id"]: r for r in line_dedup.dedup_report(odd, LINE_WORDS).collect()}
     assert got[1]["n_dropped"] == 0 and got[2]["n_dropped"] == 1 and got[None]["kept_chars"] == 0 and got[4]["n_lines"] == 0
-    left = line_dedup.dedup_documents(odd)
+    left = line_dedup.dedup_documents(odd, LINE_WORDS)
     assert left.columns == odd.columns and {r["doc_id"] for r in left.collect()} == {1, 2, 3, 4, 5, 6, 7, 8, 10, 11}
 
 
@@ -367,13 +375,14 @@ def test_line_dedup_finds_changed_lines(spark):
             assert found[words, changed] >= (n if words < 20 else 0.9 * n), (words, changed)
 
 
-def test_line_dedup_recall_of_pairs(docs):
+@pytest.mark.parametrize("words_from", [LINE_WORDS, 1])
+def test_line_dedup_recall_of_pairs(docs, words_from):
     """All pairs by brute force; what goes is what goes by them."""
     at = defaultdict(list)
     for doc, text in sorted(texts(docs).items()):
         for pos, line in enumerate((text or "").split("\n")):
             norm = re.sub(r"[\W_]+", " ", line.lower()).strip()
-            if len(norm.split(" ")) >= line_dedup.MIN_WORDS:
+            if norm and len(norm.split(" ")) >= words_from:
                 at[norm].append((doc, pos))
     words = [n.split(" ") for n in at]
     bags = [Counter(w) for w in words]
@@ -385,10 +394,40 @@ def test_line_dedup_recall_of_pairs(docs):
 
     group, places = brute.groups(len(words), linked), list(at.values())
     want = {p for k, g in enumerate(group) for p in places[k] if p != places[g][0]}
-    got = {(r["doc"], p) for r in line_dedup.surplus_lines(docs).collect() for p in r["places"]}
+    got = {(r["doc"], p) for r in line_dedup.surplus_lines(docs, words_from).collect() for p in r["places"]}
     assert got <= want and len(got) >= 0.98 * len(want), (len(got), len(want))
 
 
+def test_lines_with_one_frequent_run(spark):
+    """A phrase of many lines makes no pairs, nor does a line form with numbers of its own; copies of it still meet."""
+    random = np.random.default_rng(9)
+    phrase = [" ".join(["at", "the", "end", *(f"w{k}" for k in random.integers(0, 10**9, 7))]) for _ in range(300)]
+    form = [f"order {k} of customer {k + 10000} went out on day {k + 20000} at noon" for k in range(1000, 1300)]
+    copies = ["the same line of text with one word that changes here " + f"v{k}" for k in range(300)]
+    rows = list(enumerate(phrase + form + copies))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    distinct = line_dedup.line_table(df).groupBy("k").agg(F.min("norm").alias("norm"))
+    blocks = line_dedup._blocks(distinct, True)
+    hot = blocks.groupBy("part").count().filter(F.col("count") > line_dedup.HOT).select("part")
+    refined = line_dedup._refined(blocks.join(hot, "part"), distinct)
+    assert refined.join(distinct.filter("norm LIKE 'at the end%' OR norm LIKE 'order%'"), "k").count() <= 6  # words that share a counter
+    got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.dedup_report(df).collect()}
+    assert [k for k, n in got.items() if n] == [k for k in got if k > 600]
+
+
+def test_line_dedup_takes_every_run_if_asked(spark):
+    """Edits as evenly apart as they can be, on long lines: no pair is missed without the sample."""
+    random = np.random.default_rng(10)
+    rows = []
+    for words in (20, 31, 40, 64, 99):
+        for _ in range(10):
+            line = [f"w{k}" for k in random.integers(0, 10**9, words)]
+            other = [f"x{k}" if k % 5 == 4 else w for k, w in enumerate(line)]
+            rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(other))]
+    gone = line_dedup.surplus_lines(spark.createDataFrame(rows, "doc_id long, text string"), sampled=False)
+    assert {r["doc"] for r in gone.collect()} == set(range(1, len(rows), 2))
+
+
 def test_short_lines_take_part(spark, tmp_path):
     from feedmill.llm.queries import op10_line_dedup
 
