@@ -22,15 +22,22 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="feedmill-llm-"))
     return folder or context.getCheckpointDir()
 
 
 def settle(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Write a table to the shared folder and read it back: computed once, and safe from lost executors."""
+    """Write a table to the shared folder and read it back: computed once, and safe from lost executors.
+
+    The shuffle files below it are of no use from then on; Spark deletes them when the driver's JVM collects its garbage,
+    which is asked for here, as a driver with little to do may not do so for long.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
