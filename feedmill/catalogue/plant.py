@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from feedmill.catalogue.base import (
     LOAD_TS,
     OLD_TS,
@@ -16,8 +18,9 @@ from feedmill.catalogue.base import (
 from feedmill.feeds import LAB_MEASURES, LAB_STEP_COLUMNS, RECIPE_MEASURES, feed
 from feedmill.operators.normalise import normalise, with_audit
 from feedmill.operators.replace import replace_where
+from feedmill.operators.summary import average, daily_states, latest_per_key
 from feedmill.operators.upsert import merge_upsert
-from feedmill.plans import plant
+from feedmill.plans import loader, plant
 from feedmill.tables import INVENTORY_COLUMNS, LAB_COLUMNS
 
 # Events stand for tank readings: some tanks and materials are not in the
@@ -333,7 +336,85 @@ def _sensor_sql() -> str:
     return merge_sql(plain(SENSOR_CORE), long, SENSOR, SENSOR[:3], ["Tag_Value"], SENSOR[:2])
 
 
+# Events stand for readings. A batch brings some again as they are, some with
+# another value or none that is a number, and some that are new.
+EVENT_READINGS = """
+    SELECT 'SITE' AS Ref_Location, event_type AS Tag_ID, ts, cast(cast(max(value) AS decimal(18,4)) AS string) AS v,
+           min(event_id) AS e
+    FROM {events} GROUP BY event_type, ts
+"""
+STORED_READINGS = f"SELECT Ref_Location, Tag_ID, ts, v AS Tag_Value FROM ({EVENT_READINGS}) r WHERE e % 4 <> 0"
+BATCH_READINGS = f"""
+    SELECT lower(Ref_Location) AS Ref_Location, Tag_ID || ' ' AS Tag_ID, ts,
+           CASE e % 9 WHEN 0 THEN 'off' WHEN 3 THEN cast(cast(v AS decimal(18,4)) + 1 AS string) ELSE v END AS Tag_Value
+    FROM ({EVENT_READINGS}) r WHERE e % 3 = 0
+"""
+
+
+def _sensor_rows(spark, sf_dir, sql):
+    rows = derive(spark, sf_dir, sql).withColumn("Trans_Timestamp", F.col("ts").cast("timestamp_ntz"))
+    return rows.select("Ref_Location", "Tag_ID", "Trans_Timestamp", "Tag_Value")
+
+
+def sensor_daily_refresh(spark, sf_dir):
+    """Daily states brought up to date by what a batch changes, not by reading the days again."""
+    spec = feed("sensor")
+    stored, batch = (_sensor_rows(spark, sf_dir, x) for x in (STORED_READINGS, BATCH_READINGS))
+    changed = loader.changed_readings(stored, batch, spec.keys).persist()
+    after = merge_upsert(
+        with_audit(stored, OLD_TS), batch, keys=spec.keys, updates=spec.updates, load_ts=LOAD_TS,
+        nullable_keys=(), unique_stage=True,
+    )
+    states = daily_states(stored, loader.DAILY_KEYS[:2], "Trans_Timestamp", "Tag_Value")
+    merged = loader.merged_sensor_states(states, changed, after).withColumn("Avg_Value", average())
+    named = merged.withColumns({"Ref_Location": F.lower("Ref_Location"), "Tag_ID": F.rtrim("Tag_ID")})
+    # New readings are written as the batch spells them: one group per key all the same.
+    rows = named.groupBy(*loader.DAILY_KEYS).agg(
+        F.sum("Readings").alias("Readings"), F.min("Min_Value").alias("Min_Value"), F.max("Max_Value").alias("Max_Value"),
+        (F.sum("Number_Sum").cast("double") / F.sum("Numbers")).alias("Avg_Value"),
+        F.max_by("Last_Value", "Last_Stamp").alias("Last_Value"),
+    )
+    return shown(rows)
+
+
+REFRESH_SQL = f"""
+    WITH readings AS (
+        SELECT Tag_ID, ts, Tag_Value FROM ({plain(STORED_READINGS)}) s
+        WHERE (Tag_ID, ts) NOT IN (SELECT (rtrim(Tag_ID), ts) FROM ({plain(BATCH_READINGS)}) b)
+        UNION ALL SELECT rtrim(Tag_ID), ts, Tag_Value FROM ({plain(BATCH_READINGS)}) b
+    ), numbers AS (SELECT *, try_cast(Tag_Value AS decimal(28,6)) AS exact, try_cast(Tag_Value AS double) AS number FROM readings)
+    SELECT 'site' AS Ref_Location, Tag_ID, cast(cast(ts AS date) AS varchar) AS Reading_Date, count(*) AS Readings,
+           min(number) AS Min_Value, max(number) AS Max_Value, cast(sum(exact) AS double) / count(exact) AS Avg_Value,
+           arg_max(number, ts) FILTER (WHERE number IS NOT NULL) AS Last_Value
+    FROM numbers GROUP BY Tag_ID, cast(ts AS date)
+"""
+
+# Line items as readings of a supplier and day: the highest order and line came last.
+ARRIVALS = """
+    SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'SITE' ELSE 'site ' END AS Ref_Location,
+           'S' || cast(l_suppkey AS string) AS Tag_ID, cast(l_shipdate AS string) AS day,
+           cast(l_quantity AS string) AS Tag_Value, l_orderkey, l_linenumber
+    FROM {lineitem}
+"""
+
+
+def sensor_latest_reading(spark, sf_dir):
+    rows = derive(spark, sf_dir, ARRIVALS).withColumn("Trans_Timestamp", F.substring("day", 1, 10)).drop("day")
+    rows = latest_per_key(rows, feed("sensor").keys, ("l_orderkey", "l_linenumber"))
+    return rows.select("Ref_Location", "Tag_ID", "Trans_Timestamp", F.col("Tag_Value").cast("double").alias("Tag_Value"))
+
+
+LATEST_SQL = f"""
+    SELECT Ref_Location, Tag_ID, substr(day, 1, 10) AS Trans_Timestamp, cast(Tag_Value AS double) AS Tag_Value
+    FROM ({plain(ARRIVALS)}) a
+    QUALIFY row_number() OVER (PARTITION BY lower(rtrim(Ref_Location)), Tag_ID, substr(day, 1, 10)
+                               ORDER BY l_orderkey DESC, l_linenumber DESC) = 1
+"""
+
+
 QUERIES = [
+    Query("sensor_daily_refresh", sensor_daily_refresh, REFRESH_SQL),
+    Query("sensor_latest_reading", sensor_latest_reading, LATEST_SQL),
     Query("inventory_decode", inventory_decode, INVENTORY_SQL),
     Query("inventory_unmapped", inventory_unmapped, UNMAPPED_SQL),
     Query("feed_inventory", feed_inventory, _inventory_merge_sql()),

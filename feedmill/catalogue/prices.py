@@ -168,7 +168,8 @@ SOURCES = {
 def price_upsert(spark, sf_dir, names=tuple(SOURCES)):
     """Feeds in one upsert into a price table that holds older quotes: crack and
     spot ones with other prices, and weekly futures that no file brings again."""
-    stage = prices.all_quotes(*[SOURCES[n](spark, sf_dir) for n in names])
+    # Pivoted and looked up once for the guard, the updates and the inserts; a load writes its stage for that.
+    stage = prices.all_quotes(*[SOURCES[n](spark, sf_dir) for n in names]).persist()
     core = prices.all_quotes(
         _crack(spark, sf_dir, CRACK_DAILY),
         _opis(spark, sf_dir, OPIS_DAILY)[1],

@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from feedmill.feeds import AUDIT
 from feedmill.functions.text import match_form
 from feedmill.functions.typing import load_stamp
+from feedmill.operators.keyfilter import key_filter, might_hold
 
 _REPEATED = "_repeated"
 _SPLIT = "_split"
@@ -108,6 +109,30 @@ def with_keys(stage: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFr
     return split_join(with_match_keys(stage, keys), listed, names, "left_semi").select(*stage.columns)
 
 
+def fresh_rows(
+    rows: DataFrame, columns: Sequence[str], load_ts, audit: Sequence[str] = AUDIT
+) -> DataFrame:
+    """Rows as an insert writes them, in the core's column order."""
+    stamp = load_stamp(load_ts)
+    return rows.select(*[stamp.alias(c) if c in audit else F.col(c) for c in columns])
+
+
+def present_keys(core: DataFrame, stage: DataFrame, keys: Sequence[str], *also: str) -> DataFrame:
+    """Compared keys, and ``also``, of the core rows whose key is in the stage: distinct.
+
+    Of the core only these columns are read. A Bloom filter of the stage's keys
+    stands before the join, so that nearly only matching rows are shuffled.
+    """
+    names = _key_names(keys)
+    wanted = with_match_keys(stage.select(*keys).filter(_complete(keys)), keys).select(*names).distinct()
+    count = wanted.count()
+    hashed = F.xxhash64(*names)
+    bloom = key_filter(wanted.select(hashed.alias("h")), count)
+    held = with_match_keys(core.select(*keys, *also).filter(_complete(keys)), keys)
+    held = held.filter(might_hold(bloom, count, hashed)).select(*names, *also).distinct()
+    return held.join(wanted, names, "left_semi")
+
+
 def merge_upsert(
     core: DataFrame,
     stage: DataFrame,
@@ -118,12 +143,14 @@ def merge_upsert(
     audit: Sequence[str] = AUDIT,
     nullable_keys: Sequence[str] | None = None,
     unique_stage: bool = False,
+    insert: bool = True,
 ) -> DataFrame:
     """The core table after the upsert, with the core's columns.
 
     ``stage`` has every core column except the audit columns. ``nullable_keys``
     names the keys that may be NULL (all, when not told). ``unique_stage`` says
-    that no stage key occurs twice, which saves the check for repeats.
+    that no stage key occurs twice, which saves the check for repeats. Without
+    ``insert`` only the updates are done: every stage key is known to be in the core.
     """
     keys = list(keys)
     created, updated = audit
@@ -134,8 +161,7 @@ def merge_upsert(
     nullable = keys if nullable_keys is None else [k for k in keys if k in set(nullable_keys)]
 
     def inserted(rows: DataFrame) -> DataFrame:
-        fresh = {created: stamp, updated: stamp}
-        return rows.select(*[fresh[c].alias(c) if c in fresh else F.col(c) for c in columns])
+        return fresh_rows(rows, columns, load_ts, audit)
 
     stage = stage.select(*[F.col(c).cast(core.schema[c].dataType).alias(c) for c in data])
     left = with_match_keys(core, keys)
@@ -143,7 +169,8 @@ def merge_upsert(
     parts: list[DataFrame] = []
 
     if nullable:
-        parts.append(inserted(right.filter(~_complete(nullable))))
+        if insert:
+            parts.append(inserted(right.filter(~_complete(nullable))))
         right = right.filter(_complete(nullable))
 
     if unique_stage:
@@ -152,7 +179,8 @@ def merge_upsert(
     else:
         repeats = repeated_keys(stage, keys).select(*names)
         flagged = split_join(right, repeats.withColumn(_REPEATED, F.lit(True)), names, "left")
-        parts.append(inserted(flagged.filter(F.col(_REPEATED).isNotNull())))
+        if insert:
+            parts.append(inserted(flagged.filter(F.col(_REPEATED).isNotNull())))
         single = flagged.filter(F.col(_REPEATED).isNull()).drop(_REPEATED)
         side = single.withColumn(_REPEATED, F.lit(False)).unionByName(
             repeats.withColumn(_REPEATED, F.lit(True)), allowMissingColumns=True
@@ -168,8 +196,9 @@ def merge_upsert(
         parts.append(left.filter(~_complete(nullable)).select(*columns))
         left = left.filter(_complete(nullable))
 
-    present = left.select(*names).distinct()
-    parts.append(inserted(single.join(present, names, "left_anti")))
+    if insert:
+        present = left.select(*names).distinct()
+        parts.append(inserted(single.join(present, names, "left_anti")))
 
     changed = set(updates)
     hit = F.col(_IN_STAGE).isNotNull()

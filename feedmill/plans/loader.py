@@ -12,7 +12,6 @@ import re
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,21 +31,38 @@ from feedmill.functions.typing import (
 from feedmill.operators.normalise import normalise, with_audit
 from feedmill.operators.quality import row_fault
 from feedmill.operators.replace import reload, replace_where
-from feedmill.operators.summary import daily_summary
+from feedmill.operators.summary import STALE, STATE, average, daily_states, merge_states
 from feedmill.operators.upsert import (
+    fresh_rows,
     merge_upsert,
     multi_match,
+    present_keys,
     repeated_keys,
+    split_join,
     with_keys,
+    with_match_keys,
     without_keys,
 )
 from feedmill.plans import plant, prices
 from feedmill.sources import files
-from feedmill.sources.delimited import ARRIVAL, FILE, MALFORMED, RAW, ROW, RUN_ON, scan
-from feedmill.sources.store import TableStore
+from feedmill.sources.delimited import (
+    ARRIVAL,
+    BLOCK,
+    BLOCK_END,
+    FILE,
+    MALFORMED,
+    PIECE,
+    RAW,
+    ROW,
+    from_pieces,
+    scan_lines,
+)
+from feedmill.sources.store import SLICE, TableStore
 from feedmill.tables import table
 
 FAULT = "_fault"
+#: Commits that a slice may be spread over before it is put together again.
+MOST_PARTS = 16
 
 
 class RejectedRows(Exception):
@@ -127,44 +143,52 @@ def input_files(spark: SparkSession, spec: FeedSpec, data_dir: str) -> list[str]
     return [files.join(folder, n) for n in names if fnmatch.fnmatchcase(n.lower(), mask)]
 
 
-def _write_landing(
-    rows: DataFrame, spec: FeedSpec, path: str
-) -> tuple[DataFrame, dict[str, int]]:
-    seen = Observation()
+GOOD, REFUSED, PIECES = "good", "refused", "piece"
+OUTCOME = "_outcome"
+
+
+def write_landing(rows: DataFrame, spec: FeedSpec, path: str) -> tuple[DataFrame, dict[str, int]]:
+    """Land checked rows by state; what the pieces of spanning records make is added from there.
+
+    ``rows`` are checked, numbered lines. Raw text is kept of refused rows and of pieces.
+    """
     order = [ARRIVAL, ROW] if spec.write == SENSOR else []
-    kept = checked(rows, spec).select(*spec.columns, *order, RAW, FILE, RUN_ON, FAULT)
-    (
+    counts = {"scanned": 0, "rejected": 0, "pieces": 0}
+
+    def write(some: DataFrame) -> DataFrame:
+        seen = Observation()
+        piece, refuse = F.col(PIECE) != 0, F.col(FAULT).isNotNull()
+        state = F.when(piece, PIECES).when(refuse, REFUSED).otherwise(GOOD)
+        kept = some.withColumn(OUTCOME, state).withColumn(RAW, F.when(state != GOOD, F.col(RAW)))
+        located = [F.when(piece, F.col(c)).alias(c) for c in (ARRIVAL, ROW) if c not in order]
+        kept = kept.select(*spec.columns, *order, *located, RAW, FILE, BLOCK, BLOCK_END, PIECE, FAULT, OUTCOME)
         kept.observe(
             seen,
-            F.count(F.lit(1)).alias("scanned"),
-            F.count_if(F.col(FAULT).isNotNull()).alias("rejected"),
-            F.count_if(RUN_ON).alias("run_on"),
-        )
-        .withColumn(RAW, F.when(F.col(FAULT).isNotNull(), F.col(RAW)))
-        .withColumn("_ok", F.col(FAULT).isNull())
-        .write.partitionBy("_ok")
-        .parquet(path)
-    )
-    # Without any row there are no metrics at all.
-    counts = {k: seen.get.get(k) or 0 for k in ("scanned", "rejected", "run_on")}
-    return landing(rows.sparkSession, kept, path), counts
+            F.count_if(~piece).alias("scanned"),
+            F.count_if(~piece & refuse).alias("rejected"),
+            F.count_if(piece).alias("pieces"),
+        ).write.partitionBy(OUTCOME).mode("append").parquet(path)
+        # Without any row there are no metrics at all.
+        for name in counts:
+            counts[name] += seen.get.get(name) or 0
+        return kept
+
+    landed = landing(rows.sparkSession, write(rows), path)
+    if counts["pieces"]:
+        write(checked(from_pieces(landed.filter(F.col(OUTCOME) == PIECES), spec), spec))
+        landed = rows.sparkSession.read.schema(landed.schema).parquet(path)
+    return landed, counts
 
 
 def landing(spark: SparkSession, kept: DataFrame, path: str) -> DataFrame:
-    """Landed rows; ``_ok`` is the folder they are in."""
-    schema = T.StructType([*kept.schema.fields, T.StructField("_ok", T.BooleanType())])
-    return spark.read.schema(schema).parquet(path)
+    """Landed rows; the state is the folder they are in."""
+    return spark.read.schema(kept.schema).parquet(path)
 
 
 def land(
     spark: SparkSession, spec: FeedSpec, store: TableStore, paths: Sequence[str], load: str
 ) -> Landed:
-    """Scan files once into checked Parquet.
-
-    Files in which a quoted cell seems to run over a line end are scanned again,
-    record by record; the others stay splittable. What an earlier run of the
-    same load set aside goes first.
-    """
+    """Scan files once into checked Parquet. What an earlier run of the same load set aside goes first."""
     report = LoadReport(spec.name, list(paths))
     base = files.join(work_folder(spark, store), f"{spec.name}-{uuid.uuid4().hex}")
     if not paths:
@@ -181,22 +205,20 @@ def land(
 def _landed_rows(
     spark: SparkSession, spec: FeedSpec, store: TableStore, report: LoadReport, base: str, load: str
 ) -> DataFrame | None:
-    paths, path = report.files, files.join(base, "stage")
-    landed, counts = _write_landing(scan(spark, spec, paths), spec, path)
-    if counts["run_on"]:
-        uris = landed.filter(RUN_ON).select(FILE).distinct().collect()
-        spanning = {unquote(r[0]).rsplit("/", 1)[1] for r in uris}
-        whole = [p for p in paths if p.rsplit("/", 1)[1] in spanning]
-        path = files.join(base, "stage-records")
-        landed, counts = _write_landing(scan(spark, spec, paths, whole), spec, path)
+    rows = checked(scan_lines(spark, spec, report.files), spec)
+    landed, counts = write_landing(rows, spec, files.join(base, "stage"))
     report.scanned, report.rejected = counts["scanned"], counts["rejected"]
     if report.rejected:
         quarantine(store, spec, refused(landed), load, "refused")
-    return landed.filter("_ok") if report.scanned > report.rejected else None
+    return good_rows(landed) if report.scanned > report.rejected else None
+
+
+def good_rows(landed: DataFrame) -> DataFrame:
+    return landed.filter(F.col(OUTCOME) == GOOD)
 
 
 def refused(landed: DataFrame) -> DataFrame:
-    return landed.filter("NOT _ok").select(RAW, FILE, F.col(FAULT).alias("reason"))
+    return landed.filter(F.col(OUTCOME) == REFUSED).select(RAW, FILE, F.col(FAULT).alias("reason"))
 
 
 def load_id(load_ts) -> str:
@@ -269,49 +291,141 @@ def upsert(
     load_ts,
     nullable_keys: Sequence[str] = (),
     unique_stage: bool = False,
+    found: DataFrame | None = None,
+    note=None,
 ) -> tuple[int, list[str]]:
-    """Upsert into the slices that the stage touches; gives version and slices."""
+    """Upsert a settled stage; gives the version and the slices that the stage belongs to.
+
+    Only slices that hold a key of the stage are read whole and rewritten. Rows that are new are added to their
+    slices as further files; a slice of ``MOST_PARTS`` commits is put together when rows are added to it. ``found``
+    names the slices and compared keys that are held already, where the caller has looked them up.
+    """
+    spark, core = store.spark, table(name)
     touched = store.slices_in(name, stage)
-    # One pass over the stage's keys: without repeats the upsert is a single join.
-    unique_stage = unique_stage or repeated_keys(stage, keys).isEmpty()
-    merged = merge_upsert(
-        store.read(name, touched),
-        stage,
-        keys=keys,
-        updates=updates,
-        load_ts=load_ts,
-        nullable_keys=nullable_keys,
-        unique_stage=unique_stage,
-    )
-    return store.replace_slices(name, merged, touched), touched
+    base = files.join(work_folder(spark, store), f"{name}-keys-{uuid.uuid4().hex}")
+    stage = stage.select(*[F.col(c).cast(core.schema[c].dataType).alias(c) for c in core.data_columns])
+    if found is None:
+        held = store.read(name, touched, with_slice=True)
+        found = settled(spark, present_keys(held, stage, keys, SLICE), base)
+    try:
+        matched = {r[0] for r in found.select(SLICE).distinct().collect()}
+        present = found.drop(SLICE).distinct()
+        present = present.withColumnsRenamed(dict(zip(present.columns, keys)))
+        changes, news = with_keys(stage, present, keys), without_keys(stage, present, keys)
+        # One pass over the changes' keys: without repeats they take a single join.
+        unique_stage = unique_stage or repeated_keys(changes, keys).isEmpty()
+        full = {s for s, parts in store.parts(name).items() if s in set(touched) and len(parts) >= MOST_PARTS}
+        merged = merge_upsert(
+            store.read(name, matched | full),
+            changes,
+            keys=keys,
+            updates=updates,
+            load_ts=load_ts,
+            audit=core.audit,
+            nullable_keys=nullable_keys,
+            unique_stage=unique_stage,
+            insert=False,
+        )
+        rows = merged.unionByName(fresh_rows(news, core.schema.names, load_ts, core.audit))
+        return store.add(name, rows, matched | full, note), touched
+    finally:
+        files.delete_tree(spark, base)
 
 
 def replace_blend_lab(store: TableStore, rows: DataFrame, load_ts) -> int:
-    """Drop the blend containers' lab rows and append the new ones."""
+    """Drop the blend containers' lab rows and append the new ones: slices without such rows are not rewritten."""
     scope = plant.blend_lab_scope()
-    core = store.read("lab")
-    touched = set(store.slices_in("lab", rows)) | set(store.slices_in("lab", core.filter(scope)))
+    scoped = store.read("lab", with_slice=True).filter(scope).select(SLICE).distinct()
+    touched = {r[0] for r in scoped.collect()}
     after = replace_where(store.read("lab", touched), scope, with_audit(rows, load_ts))
-    return store.replace_slices("lab", after, touched)
+    return store.add("lab", after, touched)
+
+
+DAILY_KEYS = ("Ref_Location", "Tag_ID", "Reading_Date")
+
+
+def _states_of(readings: DataFrame, value: str = "Tag_Value") -> DataFrame:
+    return daily_states(readings, DAILY_KEYS[:2], "Trans_Timestamp", value)
+
+
+def _write_states(store: TableStore, states: DataFrame, days: Sequence[str], load_ts) -> int:
+    """Publish the days' states, noting the version of the readings they are of."""
+    rows = states.withColumn("Avg_Value", average()).withColumn(UPDATED, load_stamp(load_ts))
+    note = {"of": store.manifest("sensor")["version"]}
+    return store.add("sensor_daily", rows, days, note=note)
 
 
 def refresh_sensor_daily(store: TableStore, days: Sequence[str], load_ts) -> int:
-    """Recompute the daily summary of the given days from the sensor table."""
-    by = ("Ref_Location", "Tag_ID")
-    summary = daily_summary(store.read("sensor", days), by, "Trans_Timestamp", "Tag_Value")
-    summary = summary.withColumn(UPDATED, load_stamp(load_ts))
-    return store.replace_slices("sensor_daily", summary, days)
+    """Compute the daily states of the given days anew from the sensor table."""
+    return _write_states(store, _states_of(store.read("sensor", days)), days, load_ts)
+
+
+def catch_up_sensor_daily(store: TableStore, load_ts) -> None:
+    """Compute anew the days of loads that ended before their states were written, if there are any."""
+    noted = store.manifest("sensor_daily").get("note")
+    seen = noted["of"] if noted else 0
+    missed = store.notes("sensor", seen)
+    if not missed:
+        return
+    known = [n["days"] if n else None for n in missed]
+    days = set(store.parts("sensor")) if None in known else {d for some in known for d in some}
+    refresh_sensor_daily(store, sorted(days), load_ts)
+
+
+def changed_readings(stored: DataFrame, readings: DataFrame, keys: Sequence[str], *also: str) -> DataFrame:
+    """Readings that are new or of another value than ``stored``: with the value and spelling they replace.
+
+    ``_held`` says whether there was one, ``_old`` is its value and ``_was_*`` how its key is written.
+    """
+    names = [f"_key_{k}" for k in keys]
+    was = {f"_was_{k}": F.col(k) for k in DAILY_KEYS[:2]}
+    held = present_keys(stored.withColumns(was), readings, keys, "Tag_Value", *was, *also)
+    held = held.withColumnRenamed("Tag_Value", "_old").withColumn("_held", F.lit(True))
+    changed = split_join(with_match_keys(readings, keys), held, names, "left")
+    changed = changed.withColumn("_held", F.coalesce("_held", F.lit(False)))
+    return changed.filter(~(F.col("_held") & F.col("Tag_Value").eqNullSafe(F.col("_old"))))
+
+
+def merged_sensor_states(states: DataFrame, changed: DataFrame, after: DataFrame) -> DataFrame:
+    """Daily states after a load of changed readings.
+
+    ``after`` are the days' readings after the load; they are read for stale states only, if there are any.
+    """
+    changed = changed.withColumns({k: F.coalesce(f"_was_{k}", k) for k in DAILY_KEYS[:2]})
+    added, gone = _states_of(changed), _states_of(changed.filter("_held"), "_old")
+    merged = merge_states(states, added, gone, DAILY_KEYS)
+    stale = merged.filter(STALE).select(*DAILY_KEYS)
+    dated = after.withColumn("Reading_Date", F.col("Trans_Timestamp").cast("date"))
+    anew = dated.join(stale, list(DAILY_KEYS), "left_semi").drop("Reading_Date")
+    return merged.filter(~F.col(STALE)).drop(STALE).unionByName(_states_of(anew))
 
 
 def load_sensor_readings(store: TableStore, readings: DataFrame, load_ts) -> int:
-    """Upsert readings (one per key), then bring the touched days' summary up to date."""
-    spec = feed("sensor")
-    version, days = upsert(
-        store, "sensor", readings, keys=spec.keys, updates=spec.updates, load_ts=load_ts,
-        unique_stage=True,
-    )
-    refresh_sensor_daily(store, days, load_ts)
-    return version
+    """Upsert the readings that change anything (one per key), and bring the daily states up to date.
+
+    What is stored of the readings' keys is read once: readings that are as stored are not written again, so a replay
+    writes nothing. The others are added to the daily states, and the values they replace are taken from them.
+    """
+    spec, spark = feed("sensor"), store.spark
+    catch_up_sensor_daily(store, load_ts)
+    base = files.join(work_folder(spark, store), f"sensor-changes-{uuid.uuid4().hex}")
+    try:
+        held = store.read("sensor", store.slices_in("sensor", readings), with_slice=True)
+        changed = settled(spark, changed_readings(held, readings, spec.keys, SLICE), base)
+        days = sorted(store.slices_in("sensor", changed))
+        if not days:
+            return store.manifest("sensor")["version"]
+        states = store.read("sensor_daily", days).select(*DAILY_KEYS, *STATE)
+        found = changed.filter("_held").select(SLICE, *[f"_key_{k}" for k in spec.keys])
+        version, _ = upsert(
+            store, "sensor", changed.select(*readings.columns), keys=spec.keys, updates=spec.updates, load_ts=load_ts,
+            unique_stage=True, found=found, note={"days": days},
+        )
+        merged = settled(spark, merged_sensor_states(states, changed, store.read("sensor", days)), files.join(base, "states"))
+        _write_states(store, merged, days, load_ts)
+        return version
+    finally:
+        files.delete_tree(spark, base)
 
 
 def _nullable(spec: FeedSpec) -> list[str]:

@@ -1,26 +1,23 @@
 """Delimited drop files as all-text DataFrames.
 
-Files are read as lines, so large files split, and parsed by ``from_csv``. The
-raw line stays at hand for two things the CSV source cannot tell: whether a
-quoted cell runs on into the next line, and what a refused row looked like.
+Files are read as lines, so large files split, and parsed by ``from_csv``. A record that spans lines is met as pieces,
+see :mod:`feedmill.sources.records`: rows whose ``PIECE`` is not 0 hold a raw line and no cells. A load lands them with
+the others and parses what they make from there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from feedmill.feeds import FeedSpec
 from feedmill.operators.normalise import fill_empty
+from feedmill.sources.records import HEAD, assembled, ends_inside, line_mark, line_numbers
 
-FILE, ARRIVAL, RAW, MALFORMED, RUN_ON = "_file", "_arrival", "_raw", "_malformed", "_run_on"
-ROW = "_row"
-_UNUSED_SEPARATOR = "\u0001"
+FILE, ARRIVAL, RAW, MALFORMED, PIECE = "_file", "_arrival", "_raw", "_malformed", "_piece"
+ROW, BLOCK, BLOCK_END = "_row", "_block", "_block_end"
 
 
 def any_case(mask: str) -> str:
@@ -38,39 +35,6 @@ def _csv_options(spec: FeedSpec) -> dict[str, str]:
     }
 
 
-def _text_schema(spec: FeedSpec) -> T.StructType:
-    names = [*spec.columns, MALFORMED]
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
-
-
-def drop_heads(lines: DataFrame, count: int) -> DataFrame:
-    """Drop the first ``count`` records of every file, in the same scan.
-
-    The head of a file is in the split that starts at offset 0, and a task reads
-    a split in order, so counting rows within the task is enough: no second scan
-    and no shuffle. Only a marker of 8 bytes per row passes through Python.
-    """
-
-    def keep(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        current, seen = 0, 0
-        for batch in batches:
-            marks = batch.to_numpy()
-            out = np.ones(len(marks), dtype=bool)
-            edges = np.flatnonzero(marks[1:] != marks[:-1]) + 1
-            starts = [0, *edges.tolist()] if len(marks) else []
-            for start, end in zip(starts, [*starts[1:], len(marks)]):
-                if marks[start] != current:
-                    current, seen = marks[start], 0
-                if current != 0:
-                    out[start : start + max(0, min(count - seen, end - start))] = False
-                    seen += end - start
-            yield pd.Series(out)
-
-    head = F.when(F.col("_block") == 0, F.xxhash64(FILE)).otherwise(F.lit(0).cast("bigint"))
-    udf = F.pandas_udf(keep, "boolean").asNondeterministic()
-    return lines.withColumn("_keep", udf(head)).filter("_keep").drop("_keep")
-
-
 def _located(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add where a row comes from. Arrival orders files and splits."""
     meta = "_metadata."
@@ -82,7 +46,8 @@ def _located(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(
         *columns,
         F.col(meta + "file_path").alias(FILE),
-        F.col(meta + "file_block_start").alias("_block"),
+        F.col(meta + "file_block_start").alias(BLOCK),
+        (F.col(meta + "file_block_start") + F.col(meta + "file_block_length")).alias(BLOCK_END),
         arrival.alias(ARRIVAL),
     )
 
@@ -92,87 +57,53 @@ def numbered(rows: DataFrame) -> DataFrame:
     return rows.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def _run_on(line: Column) -> Column:
-    """An odd number of quotes: a quoted cell may continue on the next line."""
-    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
-
-
-def parse_lines(lines: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Raw lines (column ``value``) to the feed's columns, bound by position."""
+def parse_lines(records: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Records (column ``value``) to the feed's columns, bound by position. Columns of the scan itself stay."""
     schema = ", ".join(f"`{n}` STRING" for n in [*spec.columns, MALFORMED])
-    parsed = lines.filter(F.col("value") != "").withColumn(
-        "_cells", F.from_csv("value", schema, _csv_options(spec))
-    )
-    out = parsed.select(
-        "_cells.*",
-        FILE,
-        ARRIVAL,
-        F.col("value").alias(RAW),
-        _run_on(F.col("value")).alias(RUN_ON),
-    )
-    out = out.withColumn(MALFORMED, F.col(MALFORMED).isNotNull() | F.col(RUN_ON))
+    own = [c for c in records.columns if c != "value"]
+    whole = F.col(PIECE) == 0 if PIECE in own else F.lit(True)
+    cells = F.from_csv(F.when(whole, F.col("value")), schema, _csv_options(spec))
+    out = records.withColumn("_cells", cells).select("_cells.*", *own, F.col("value").alias(RAW))
+    torn = F.contains(RAW, F.lit('"')) & ends_inside(F.col(RAW), spec.sep)
+    out = out.withColumn(MALFORMED, whole & (F.col(MALFORMED).isNotNull() | torn))
     return fill_empty(out, spec.columns)
 
 
-def _lines(reader, spec: FeedSpec, load) -> DataFrame:
-    """Lines of all files without their heads.
+def _lines(lines: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Lines of all files without their heads and without blank ones, pieces numbered.
 
-    One head line is dropped by the CSV source itself, reading whole lines as a
-    single column; more than one by :func:`drop_heads`.
+    The head of a file is in the split that starts at offset 0, and a task reads a split in order, so counting rows
+    within the task is enough: no second scan and no shuffle. Two numbers per row pass through Python.
     """
-    if spec.skip == 1:
-        options = {"header": "true", "sep": _UNUSED_SEPARATOR, "quote": ""}
-        raw = load(reader.format("csv").schema("value STRING").options(**options))
-        return _located(raw, ["value"])
-    lines = _located(load(reader.format("text")), ["value"])
-    return drop_heads(lines, spec.skip) if spec.skip else lines
+    first = F.col(BLOCK) == 0
+    key = F.xxhash64(FILE, BLOCK).bitwiseAND(F.lit((1 << 62) - 1))
+    key = F.when(first, -1 - key).otherwise(key)
+    lines = lines.withColumn(PIECE, line_numbers(spec)(key, line_mark(F.col("value"), spec.sep)))
+    return lines.filter((F.col(PIECE) != HEAD) & ((F.col("value") != "") | (F.col(PIECE) != 0)))
 
 
 def scan_lines(spark: SparkSession, spec: FeedSpec, paths: Sequence[str]) -> DataFrame:
-    """Files parsed line by line. Rows that seem to run on are marked malformed."""
-    return parse_lines(_lines(spark.read, spec, lambda r: r.load(list(paths))), spec)
+    """All records of ``paths`` that are lines, and the pieces of the others; numbered."""
+    lines = _located(spark.read.format("text").load(list(paths)), ["value"])
+    return numbered(parse_lines(_lines(lines, spec), spec))
 
 
 def scan_stream(spark: SparkSession, spec: FeedSpec, folder: str, **options) -> DataFrame:
     """The same scan as a stream over a drop folder; rows are numbered per batch."""
     reader = spark.readStream.option("pathGlobFilter", any_case(spec.mask)).options(**options)
-    return parse_lines(_lines(reader, spec, lambda r: r.load(folder)), spec)
+    lines = _located(reader.format("text").load(folder), ["value"])
+    return parse_lines(_lines(lines, spec), spec)
 
 
-def scan_records(spark: SparkSession, spec: FeedSpec, paths: Sequence[str]) -> DataFrame:
-    """Files in which quoted cells span lines: each is read whole, by one task."""
-    raw = (
-        spark.read.schema(_text_schema(spec))
-        .options(**_csv_options(spec), multiLine="true", header="false")
-        .csv(list(paths))
-    )
-    rows = _located(raw, [*spec.columns, MALFORMED])
-    if spec.skip:
-        rows = drop_heads(rows, spec.skip)
-    raw_text = F.coalesce(F.col(MALFORMED), F.concat_ws(spec.sep, *spec.columns))
-    out = rows.select(
-        *spec.columns,
-        F.col(MALFORMED).isNotNull().alias(MALFORMED),
-        FILE,
-        ARRIVAL,
-        raw_text.alias(RAW),
-        F.lit(False).alias(RUN_ON),
-    )
-    return fill_empty(out, spec.columns)
+def from_pieces(pieces: DataFrame, spec: FeedSpec) -> DataFrame:
+    """The records that landed pieces make, parsed like the others."""
+    records = assembled(pieces, spec, FILE, BLOCK, BLOCK_END, PIECE, ROW, ARRIVAL, RAW)
+    records = records.filter(F.col("value") != "").withColumn(PIECE, F.lit(0).cast("long"))
+    blocks = {BLOCK: F.lit(None).cast("long"), BLOCK_END: F.lit(None).cast("long")}
+    return parse_lines(records.withColumns(blocks), spec)
 
 
-def scan(
-    spark: SparkSession, spec: FeedSpec, paths: Sequence[str], spanning: Sequence[str] = ()
-) -> DataFrame:
-    """All records of ``paths``; those in ``spanning`` are read record by record."""
-    whole = set(spanning)
-    parts = []
-    if by_line := [p for p in paths if p not in whole]:
-        parts.append(scan_lines(spark, spec, by_line))
-    if by_record := [p for p in paths if p in whole]:
-        columns = [*spec.columns, MALFORMED, FILE, ARRIVAL, RAW, RUN_ON]
-        parts.append(scan_records(spark, spec, by_record).select(*columns))
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
-    return numbered(out)
+def scan(spark: SparkSession, spec: FeedSpec, paths: Sequence[str]) -> DataFrame:
+    """All records of ``paths``, to look at; a load lands its lines first and reads the files once."""
+    rows = scan_lines(spark, spec, paths)
+    return rows.filter(F.col(PIECE) == 0).unionByName(from_pieces(rows.filter(F.col(PIECE) != 0), spec))

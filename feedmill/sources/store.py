@@ -1,9 +1,9 @@
 """Core tables as versioned Parquet.
 
 A commit writes its slices to a folder of its own and then publishes, in one
-rename, a small file that says which commit holds each slice. Readers see the
+rename, a small file that says which commits hold each slice. Readers see the
 old version or the new one, a failed load leaves the old one, and a load rewrites
-the slices it touches and no others.
+the slices it replaces rows in; rows that are only new are added to theirs.
 """
 
 from __future__ import annotations
@@ -43,6 +43,11 @@ class TableStore:
             return {"version": 0, "buckets": self.buckets, "slices": {}}
         return files.read_json(self.spark, files.join(log, published[-1]))
 
+    def parts(self, name: str) -> dict[str, list[str]]:
+        """The commits that hold each slice."""
+        slices = self.manifest(name)["slices"]
+        return {s: [c] if isinstance(c, str) else c for s, c in slices.items()}
+
     def slice_of(self, name: str):
         return table(name).slice_of(self.manifest(name)["buckets"])
 
@@ -51,14 +56,19 @@ class TableStore:
         found = rows.select(self.slice_of(name).alias(SLICE)).distinct()
         return [r[0] for r in found.collect()]
 
-    def read(self, name: str, slices: Iterable[str] | None = None) -> DataFrame:
-        """The current version, or the given slices of it."""
+    def read(
+        self, name: str, slices: Iterable[str] | None = None, with_slice: bool = False
+    ) -> DataFrame:
+        """The current version, or the given slices of it, with their names if asked for."""
         core: CoreTable = table(name)
-        live = self.manifest(name)["slices"]
+        live = self.parts(name)
         wanted = live if slices is None else [s for s in slices if s in live]
-        paths = [files.join(self._data(name), f"commit={live[s]}", f"{SLICE}={s}") for s in wanted]
-        if not paths:
-            return self.spark.createDataFrame([], core.schema)
+        paths = [
+            files.join(self._data(name), f"commit={c}", f"{SLICE}={s}")
+            for s in wanted
+            for c in live[s]
+        ]
+        shown = [*core.schema.names, SLICE] if with_slice else core.schema.names
         schema = T.StructType(
             [
                 *core.schema.fields,
@@ -66,8 +76,10 @@ class TableStore:
                 T.StructField(SLICE, T.StringType()),
             ]
         )
+        if not paths:
+            return self.spark.createDataFrame([], schema).select(*shown)
         rows = self.spark.read.schema(schema).option("basePath", self._data(name)).parquet(*paths)
-        return rows.select(*core.schema.names)
+        return rows.select(*shown)
 
     def overwrite(self, name: str, rows: DataFrame) -> int:
         return self._commit(name, rows, None)
@@ -76,7 +88,20 @@ class TableStore:
         """Publish ``rows`` as the whole content of ``slices``."""
         return self._commit(name, rows, set(slices))
 
-    def _commit(self, name: str, rows: DataFrame, replaced: set[str] | None) -> int:
+    def add(self, name: str, rows: DataFrame, replaced: Iterable[str] = (), note=None) -> int:
+        """Publish ``rows``: as the whole content of the slices named, as further rows of others."""
+        return self._commit(name, rows, set(replaced), adding=True, note=note)
+
+    def notes(self, name: str, after: int = 0) -> list:
+        """What the versions after one were published with; None for those that are gone."""
+        log, last = self._log(name), self.manifest(name)["version"]
+        held = set(files.names_in(self.spark, log))
+        named = [f"{v:010d}.json" for v in range(after + 1, last + 1)]
+        return [files.read_json(self.spark, files.join(log, n)).get("note") if n in held else None for n in named]
+
+    def _commit(
+        self, name: str, rows: DataFrame, replaced: set[str] | None, adding: bool = False, note=None
+    ) -> int:
         core = table(name)
         before = self.manifest(name)
         version = before["version"] + 1
@@ -89,19 +114,19 @@ class TableStore:
         if core.slice_date or core.slices_by_hash:
             sliced = sliced.hint("rebalance", SLICE)
         sliced.write.partitionBy(SLICE).parquet(path)
-        written = {s: commit for s in self._written(path)}
+        written = self._written(path)
         if replaced is None:
-            kept = {}
+            slices = {}
         else:
             stray = set(written) - replaced
-            if stray:
+            if stray and not adding:
                 raise ValueError(f"{name}: rows outside the replaced slices: {sorted(stray)[:5]}")
-            kept = {s: c for s, c in before["slices"].items() if s not in replaced}
-        manifest = {
-            "version": version,
-            "buckets": before["buckets"],
-            "slices": {**kept, **written},
-        }
+            slices = {s: c for s, c in self.parts(name).items() if s not in replaced}
+        for s in written:
+            slices[s] = [*slices.get(s, []), commit]
+        manifest = {"version": version, "buckets": before["buckets"], "slices": slices}
+        if note is not None:
+            manifest["note"] = note
         files.write_new_json(self.spark, files.join(self._log(name), f"{version:010d}.json"), manifest)
         return version
 
@@ -111,7 +136,8 @@ class TableStore:
         published = [n for n in files.names_in(self.spark, log) if n.endswith(".json")]
         live = set()
         for n in published[-keep:]:
-            live |= set(files.read_json(self.spark, files.join(log, n))["slices"].values())
+            for held in files.read_json(self.spark, files.join(log, n))["slices"].values():
+                live |= {held} if isinstance(held, str) else set(held)
         newest = int(published[-1].removesuffix(".json")) if published else 0
         old = [
             c

@@ -13,19 +13,18 @@ from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmill.feeds import feed
 from feedmill.plans.loader import (
-    FAULT,
     checked,
-    landing,
+    good_rows,
     load_sensor_readings,
     quarantine,
     refused,
     settled,
     work_folder,
+    write_landing,
 )
 from feedmill.plans.plant import sensor_readings
 from feedmill.sources import files
@@ -55,18 +54,12 @@ def sensor_batch(
         spark = rows.sparkSession
         base = files.join(work_folder(spark, store), f"sensor-batch-{uuid.uuid4().hex}")
         path = files.join(base, "stage")
-        rows = numbered(rows)
         try:
-            (
-                rows.withColumn("_ok", F.col(FAULT).isNull())
-                .write.partitionBy("_ok")
-                .parquet(path)
-            )
-            landed = landing(spark, rows, path)
-            bad, good = refused(landed), landed.filter("_ok")
-            if not bad.isEmpty():
+            landed, counts = write_landing(numbered(rows), feed("sensor"), path)
+            bad, good = refused(landed), good_rows(landed)
+            if counts["rejected"]:
                 quarantine(store, feed("sensor"), bad, f"{stream}-{batch}", "refused")
-            if good.isEmpty():
+            if counts["scanned"] == counts["rejected"]:
                 return
             readings = settled(spark, sensor_readings(good, (ARRIVAL, ROW)), base)
             load_sensor_readings(store, readings, clock())

@@ -63,6 +63,7 @@ _TYPES = {
     "timestamp": T.TimestampType(),
     "timestamp_ntz": T.TimestampNTZType(),
     NUMBER: T.DecimalType(18, 4),
+    "decimal(38,6)": T.DecimalType(38, 6),
 }
 
 
@@ -161,9 +162,12 @@ def _tables() -> dict[str, CoreTable]:
                 "Tag_ID": "string",
                 "Reading_Date": "date",
                 "Readings": "bigint",
+                "Numbers": "bigint",
+                "Number_Sum": "decimal(38,6)",
                 "Min_Value": "double",
                 "Max_Value": "double",
                 "Avg_Value": "double",
+                "Last_Stamp": "timestamp_ntz",
                 "Last_Value": "double",
             },
             audit=(UPDATED,),

@@ -12,10 +12,8 @@ from feedmill.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", 4)
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="feedmill-"))
-    return session
+    # A setting of the context: it has to be there when the session is built.
+    return local_session("4", 4, **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="feedmill-")})
 
 
 @pytest.fixture(scope="session")

@@ -378,3 +378,58 @@ def test_failed_write_leaves_the_old_version(spark, store, tmp_path):
     with pytest.raises(Exception, match="lost"):
         store.overwrite("container", broken)
     assert store.read("container").first()["Units"] == "Units0"
+
+
+def liftings(numbers, **cells):
+    spec = feed("liftings")
+    rows = []
+    for i in numbers:
+        row = sample(spec)
+        row[spec.columns.index("BOL_Number")] = f"B{i:06d}"
+        for name, text in cells.items():
+            row[spec.columns.index(name)] = text
+        rows.append(row)
+    return rows
+
+
+def test_upsert_rewrites_only_slices_with_a_match(spark, store, tmp_path):
+    spec = feed("liftings")
+    load_feed(spark, spec, store, drop(tmp_path, spec, liftings(range(200))), T1)
+    before = store.parts("liftings")
+    assert len(before) == 4 and all(len(c) == 1 for c in before.values())
+    load_feed(spark, spec, store, drop(tmp_path, spec, liftings(range(200, 500))), T2)
+    after = store.parts("liftings")
+    # 300 new rows: every slice keeps its file and gets a further one.
+    assert all(after[s][:1] == before[s] and len(after[s]) == 2 for s in before)
+    load_feed(spark, spec, store, drop(tmp_path, spec, liftings([7], Driver="Corrected")), T2)
+    last = store.parts("liftings")
+    changed = [s for s in last if last[s] != after[s]]
+    assert len(changed) == 1 and len(last[changed[0]]) == 1
+    rows = store.read("liftings")
+    assert rows.count() == 500
+    assert [r["BOL_Number"] for r in rows.filter("Driver = 'Corrected'").collect()] == ["B000007"]
+    # The same with a new row beside the correction, which goes to its own slice.
+    load_feed(spark, spec, store, drop(tmp_path, spec, liftings([7, 999], Driver="Again")), T2)
+    assert {r["BOL_Number"] for r in store.read("liftings").filter("Driver = 'Again'").collect()} == {"B000007", "B000999"}
+    assert store.read("liftings").count() == 501
+
+
+def test_slices_of_many_commits_are_put_together(spark, store, tmp_path, monkeypatch):
+    monkeypatch.setattr("feedmill.plans.loader.MOST_PARTS", 2)
+    spec = feed("liftings")
+    for k in range(4):
+        load_feed(spark, spec, store, drop(tmp_path, spec, liftings(range(100 * k, 100 * k + 100))), T1)
+        assert all(len(c) <= 2 for c in store.parts("liftings").values())
+    assert store.read("liftings").count() == 400
+
+
+def test_key_filter_loses_no_key(spark):
+    from feedmill.operators.keyfilter import key_filter, might_hold
+
+    keys = spark.range(0, 3000, 3).select(F.xxhash64("id").alias("h"))
+    rows = spark.range(30000).select("id", F.xxhash64("id").alias("h"))
+    passed = {r[0] for r in rows.filter(might_hold(key_filter(keys, 1000), 1000, F.col("h"))).select("id").collect()}
+    assert set(range(0, 3000, 3)) <= passed
+    assert len(passed) < 1000 + 0.05 * 29000
+    none = rows.filter(might_hold(key_filter(keys.limit(0), 0), 0, F.col("h")))
+    assert none.count() == 0

@@ -3,7 +3,7 @@
 import pytest
 
 from feedmill.feeds import FeedSpec, layout
-from feedmill.sources.delimited import FILE, MALFORMED, RUN_ON, any_case, scan
+from feedmill.sources.delimited import MALFORMED, PIECE, any_case, scan, scan_lines
 
 LAYOUT = layout("""
     a 10 required
@@ -76,19 +76,55 @@ def test_single_blanks_separate(spark, tmp_path):
 
 
 @pytest.mark.parametrize("skip", [0, 1, 2])
-def test_quoted_line_ends_are_noticed_and_read_by_record(spark, tmp_path, skip):
+def test_quoted_line_ends_are_read_by_record(spark, tmp_path, skip):
     head = "h,h,h\n" * skip
     inner = write(tmp_path / "t1.csv", head + 'a,"x\ny",b\nq,r,"last\np,q,r"\n')
     other = write(tmp_path / "t2.csv", head + "1,2,3\n")
-    by_line = scan(spark, spec(skip), [inner, other])
-    run_on = [r[0] for r in by_line.filter(RUN_ON).select(FILE).distinct().collect()]
-    assert len(run_on) == 1 and run_on[0].endswith("t1.csv")
-    assert cells(scan(spark, spec(skip), [inner, other], [inner])) == [
+    assert cells(scan(spark, spec(skip), [inner, other])) == [
         ("1", "2", "3"),
         ("a", "x\ny", "b"),
         ("q", "r", "last\np,q,r"),
     ]
 
 
+def test_stray_quotes_stand_alone(spark, tmp_path):
+    path = write(tmp_path / "t.csv", 'h,h,h\n5" pipe,b,c\n"open,b,c\n' + "1,2,3\n" * 40 + 'x,y,"end\n')
+    df = scan(spark, spec(), [path])
+    assert cells(df) == sorted([('5" pipe', "b", "c")] + [("1", "2", "3")] * 40)
+    assert df.filter(MALFORMED).count() == 2
+
+
+@pytest.mark.parametrize("size", [40, 64, 100, 333, 2000])
+def test_records_span_lines_and_splits(spark, tmp_path, size):
+    """Records over line ends, blank lines, doubled quotes and separators, whatever splits cut."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        rows, text = [], "h,h,h\n"
+        for i in range(150):
+            row = [str(i), ("a\n\nb", 'q""x\n', "plain", "c,\nd", "e")[i % 5], ("", "z", "v\n,w")[i % 3]]
+            rows.append(tuple(c.replace('""', '"') for c in row))
+            text += ",".join(f'"{c}"' if "\n" in c or '"' in c or "," in c else c for c in row) + "\n"
+        path = write(tmp_path / "t.csv", text)
+        df = scan(spark, spec(), [path])
+        assert cells(df) == sorted(rows)
+        assert size > 1000 or scan_lines(spark, spec(), [path]).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_files_without_quotes_have_few_pieces(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        path = write(tmp_path / "t.csv", "h,h,h\n" + "1,2,3\n" * 5000)
+        rows = scan_lines(spark, spec(), [path])
+        splits = rows.rdd.getNumPartitions()
+        assert splits > 3 and rows.filter(f"{PIECE} <> 0").count() <= 13 * splits
+        assert cells(scan(spark, spec(), [path])) == [("1", "2", "3")] * 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_masks_ignore_case():
     assert any_case("MPrice*.csv") == "[mM][pP][rR][iI][cC][eE]*.[cC][sS][vV]"
