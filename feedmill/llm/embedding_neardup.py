@@ -6,18 +6,17 @@ the graph, a pruned list of neighbours for each vector, and the lists of a vecto
 cluster's vectors searches every shard of the cluster: from the shard's medoids, greedily, with ``BEAM`` candidates, and
 on from every vector within the range until no further one is found. All links are verified by cosine in double
 precision; a task emits link counts and a spanning forest of links, never the links themselves. A pair that meets in
-several clusters counts in the first. The recall of a fixed number of audited vectors is measured against all vectors;
-if it is below ``LEAST_RECALL``, clusters overlap more and the beam is widened.
+several clusters counts in the first. The recall of audited vectors that have links is measured against all vectors;
+if its mean is below ``LEAST_RECALL``, clusters overlap more and the beam is widened, and if it is below
+``CONTRACT_RECALL`` at the end, the operator fails.
 
-Cases: null vectors, vectors with null, NaN or infinite components, empty and zero vectors, and those of another length
-than the most common one in the sample link with nothing; rows that repeat an id count once (the least vector by
-hash); equal vectors link; rows with a null id are left out; an empty table gives an empty result. Other columns are
-not read.
+Cases: null vectors, vectors with null, NaN or infinite components, empty and zero vectors link with nothing; vectors of
+each length are a graph of their own; rows that repeat an id count once (the least vector by hash); equal vectors link;
+rows with a null id are left out; an empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 

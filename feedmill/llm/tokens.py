@@ -3,22 +3,29 @@
 Encoding a text piece by piece gives the ids of the whole text where the pieces end at places at which byte-level and
 word-end BPE split before they merge: before a space that follows a character other than white space, around a single
 line end, and between a letter or digit and a comma or full stop that white space follows. Texts with runs of white
-space or of marks, where this is not certain, are encoded whole. Pieces that the cache lacks are encoded together if
-they are plain letters, else alone.
+space or of marks, where this is not certain, are encoded whole, and so are those in which the letter before the mark is
+one that a normaliser's composition or lower case turns into several characters, as it does the dotted capital I.
+Pieces that the cache lacks are encoded together if they are plain letters, else alone.
+
+Strings of special tokens in a text, such as ``<|endoftext|>``, are ordinary text, as the tokenizer files' own
+description sets it: whoever writes a text must not be able to end a document in it.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import unicodedata
 
 import numpy as np
 
 #: Pieces that a worker keeps in each of two generations; only speed depends on it.
 CACHE_PIECES = 500_000
 _ENCODERS: dict[str, "Encoder"] = {}
+#: Letters that become several characters when composed and in lower case.
+_EXPANDING = "".join(c for c in map(chr, range(0x80, 0x30000)) if len(unicodedata.normalize("NFC", c).lower()) > 1)
 #: Texts to be encoded whole.
-_UNSURE = re.compile(r"\s\s|^\s|\s$|[\W_][.,][ \n]|\x00")
+_UNSURE = re.compile(rf"\s\s|^\s|\s$|[\W_{_EXPANDING}][.,][ \n]|\x00")
 
 
 def encoder(path: str) -> "Encoder":

@@ -161,6 +161,20 @@ def test_embedding_groups(spark):
     assert embedding_neardup.embedding_groups(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_several_lengths(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.0, 0.0]), (4, [0.0, 1.0, 0.0]), (5, [0.0, 1.0, 0.01])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_neardup.embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (1, 4), 5: (1, 4)}
+
+
+def test_an_embedding_search_that_misses_links_is_an_error(spark, monkeypatch):
+    rows = [(k, [1.0, k / 1000]) for k in range(40)] + [(100 + k, [float(np.cos(k)), float(np.sin(k))]) for k in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(embedding_neardup, "_links", lambda usable, *_: usable.sparkSession.createDataFrame([], "kind int, a long, b long"))
+    with pytest.raises(RuntimeError, match="widest search"):
+        embedding_neardup.embedding_groups(df)
+
+
 def test_simhash_groups(odd, none, docs):
     for df in (docs, odd.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])):
         rows = sorted((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()) if df is docs else sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=lambda r: r[0])
@@ -275,6 +289,7 @@ def test_huffman_codes():
 
 def test_encoder_gives_the_librarys_ids(docs):
     odd = ["", "  ", "a  b", "foo.\n Are", "it's 12.5% don’t", "x́ é", "\x1ca \x85b", "<|endoftext|> hi", "Σας ΟΔΟΣ.", "日本語 テスト", "a,\nB.\nC \n", "!!! ,,, a.,b", "x\0y", "e.. f, g", "ǅ, ½. ²"]
+    odd += ["TÜRKİ. — İ, x", "\u0958. a", "\ufb2a, b\n"] + [f"q{chr(c)}. — w" for c in range(0x80, 0x30000, 7) if chr(c).isalnum()]
     some = odd + [r["text"] or "" for r in docs.select("text").collect()]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         library = Tokenizer.from_file(public_tokenizers.path(name))
