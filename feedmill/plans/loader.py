@@ -208,11 +208,33 @@ def _landed_rows(
     rows = checked(scan_lines(spark, spec, report.files), spec)
     landed, counts = write_landing(rows, spec, files.join(base, "stage"))
     report.scanned, report.rejected = counts["scanned"], counts["rejected"]
+    count_files(store, spec, landed, report.files, load)
     if report.rejected:
         quarantine(store, spec, refused(landed), load, "refused")
     return good_rows(landed) if report.scanned > report.rejected else None
 
 
+def count_files(
+    store: TableStore, spec: FeedSpec, landed: DataFrame, paths: Sequence[str], load: str
+) -> DataFrame:
+    """One row per file of a load: head records skipped, records and refused ones; written beside the tables.
+
+    Counted from what was landed, of which only the file names and outcomes are read. A file without a record has a row too.
+    """
+    name = F.element_at(F.split(F.url_decode(F.replace(FILE, F.lit("+"), F.lit("%2B"))), "/"), -1)
+    counts = landed.filter(F.col(OUTCOME) != PIECES).groupBy(name.alias("file"))
+    counts = counts.agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(F.col(OUTCOME) == REFUSED).alias("refused")
+    )
+    listed = store.spark.createDataFrame([(p.rsplit("/", 1)[1],) for p in paths], "file string")
+    rows = listed.join(counts, "file", "left").select(
+        "file", F.lit(spec.skip).alias("skipped"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("records", "refused")]
+    )
+    path = files.join(store.root, "audit", spec.name, f"load={load}")
+    rows.write.mode("overwrite").parquet(path)
+    return store.spark.read.parquet(path)
+
+
 def good_rows(landed: DataFrame) -> DataFrame:
     return landed.filter(F.col(OUTCOME) == GOOD)
 

@@ -230,8 +230,15 @@ def test_several_files_in_any_case_of_the_mask(spark, store, tmp_path):
     drop(tmp_path, spec, [sample(spec, 0)], "LIFTINGS_a.CSV")
     data = drop(tmp_path, spec, [sample(spec, 1)], "liftings_b.csv")
     drop(tmp_path, spec, [sample(spec, 2)], "other.csv")
-    assert len(load_feed(spark, spec, store, data, T1).files) == 2
-    assert store.read("liftings").count() == 2
+    short = sample(spec, 3)[:4]
+    drop(tmp_path, spec, [short, sample(spec, 4)], "liftings c+%.csv")
+    drop(tmp_path, spec, [], "liftings_d.csv")
+    assert len(load_feed(spark, spec, store, data, T1).files) == 4
+    assert store.read("liftings").count() == 3
+    counts = spark.read.parquet(f"{store.root}/audit/liftings").select("file", "skipped", "records", "refused")
+    assert sorted(map(tuple, counts.collect())) == [
+        ("LIFTINGS_a.CSV", 1, 1, 0), ("liftings c+%.csv", 1, 2, 1), ("liftings_b.csv", 1, 1, 0), ("liftings_d.csv", 1, 0, 0),
+    ]
 
 
 def test_upsert_touches_only_the_days_in_the_file(spark, store, tmp_path):
