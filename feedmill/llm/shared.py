@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedmill.sources import files
+
 #: Fixed value: what separates words, in Java's and DuckDB's regular expressions alike.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,6 +43,13 @@ def settle(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete settled tables that nothing will read again."""
+    for table in tables:
+        for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+            files.delete_tree(table.sparkSession, folder)
+
+
 def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join a side with hot keys to one that has each key once.
 
