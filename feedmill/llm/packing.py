@@ -96,7 +96,7 @@ def _round(df: DataFrame, groups: int, number: int, size: int, slack: int | None
                     at.append(at[-1] + lengths[k])
                 if slack is None or size - at[-1] <= slack:
                     for k, offset in zip(sequence, at):
-                        ids[k], offsets[k] = (number << 61) + (group << 37) + (part << 15) + local, offset
+                        ids[k], offsets[k] = (number << 60) + (group << 36) + (part << 15) + local, offset
             columns = [list(c) for c in zip(*rows)][1:] + [ids, offsets]
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [*out_names, "sequence_id", "offset"])
