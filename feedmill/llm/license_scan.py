@@ -4,9 +4,10 @@ Lines with a cue stem are candidates; where a cue runs over a line end, the line
 isn't confirmed by itself is read together with its neighbours: all stretches of up to ``WRAPPED`` lines around it that no
 blank line interrupts and that cover a template, so notices may be wrapped. Of them the most probable confirmed one counts. Their word 1- to 3-grams, hashed to ``FEATURES`` numbers, go into a
 multinomial logistic regression over licence families and an unknown class, trained on the templates' sentences and on
-a bounded sample (``TRAIN_ROWS``) of the corpus: paragraphs that contain a template are of its family, all others are
-unknown. A share of the sample that training doesn't see sets the probability from which on a family is believed:
-above what ``1 - MISTAKES`` of its unknown paragraphs get, and ``LEAST`` at any rate. A believed family counts as
+all distinct candidates of the corpus: paragraphs that contain a template are of its family, all others are unknown. Lines
+without a cue are never classified, so they are not trained on. A quarter of the candidates, by hash, is kept from training
+and sets the probability from which on a family is believed: above what ``1 - MISTAKES`` of its unknown paragraphs get,
+counted in steps of ``1 / STEPS``, and ``LEAST`` at any rate. A believed family counts as
 confirmed if the family's nearest template covers it: the best shared share of words reaches ``COVER``.
 
 Both training and scan are DataFrame work; the model is compiled into the scan as arrays of numbers, so the scan is a
@@ -23,13 +24,16 @@ import json
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import discard, settle
+
 FEATURES = 512
-TRAIN_ROWS = 8000
 MISTAKES = 0.002
+#: Steps in which probabilities are counted for the threshold; a fixed number that the driver gets.
+STEPS = 10000
 LEAST = 0.5
 COVER = 0.8
 WRAPPED = 5
@@ -102,10 +106,21 @@ def _plain(sentence: str) -> str:
     return " ".join("".join(c if c.isalnum() else " " for c in sentence.lower()).split())
 
 
+def _cued(text: str) -> tuple[Column, Column]:
+    """All lines of a text, and the places of its candidates."""
+    cues = CUES.replace(chr(92), chr(92) * 2)
+    # A cue over a line end lies within the last and the first characters of the two lines.
+    spans = f"lower(concat(right(all[i], 40), ' ', left(all[i + 1], 40))) rlike '{cues}' AND NOT lower(all[i + 1]) rlike '{cues}'"
+    cued = f"lower(all[i]) rlike '{cues}' OR (i + 1 < size(all) AND {spans})"
+    lines = F.coalesce(F.expr(f"split(cast({text} AS string), '\\n', -1)"), F.array().cast("array<string>"))
+    return lines, F.expr(f"CASE WHEN size(all) = 0 THEN cast(array() AS array<int>) ELSE filter(sequence(0, size(all) - 1), i -> {cued}) END")
+
+
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The distinct normalised paragraphs with a cue, and how often they occur."""
-    lines = docs.select(F.explode(F.split(F.col(text_col).cast("string"), "\n", -1)).alias("line")).filter(F.lower("line").rlike(CUES))
-    return lines.select(normalised(F.col("line")).alias("norm")).groupBy("norm").agg(F.count("norm").alias("n"))
+    lines, at = _cued(text_col)
+    found = docs.select(lines.alias("all")).withColumn("at", at).select(F.explode(F.expr("transform(at, i -> all[i])")).alias("line"))
+    return found.select(normalised(F.col("line")).alias("norm")).groupBy("norm").agg(F.count("norm").alias("n"))
 
 
 class Model:
@@ -123,8 +138,8 @@ class Model:
         return f"transform({logits}, l -> transform(l, x -> exp(x - array_max(l)) / aggregate(l, 0D, (s, y) -> s + exp(y - array_max(l)))))[0]"
 
 
-def fit(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Train on the templates and on at most ``rows`` distinct paragraphs of the corpus."""
+def fit(docs: DataFrame) -> Model:
+    """Train on the templates and on all distinct candidates of the corpus."""
     spark = docs.sparkSession
     own = [(_plain(s), k + 1, 0) for k, family in enumerate(FAMILIES) for s in TEMPLATES[family]]
     # Texts that cue words alone don't make licences; they keep the unknown class from being empty.
@@ -133,24 +148,32 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     norm = F.col("norm")
     for k in reversed(range(len(FAMILIES))):
         label = F.when(_contains(norm, TEMPLATES[FAMILIES[k]]), k + 1).otherwise(label)
-    some = candidates(docs).orderBy(F.xxhash64("norm"), "norm").limit(rows)
     held = F.when(F.pmod(F.xxhash64("norm", F.lit(4)), F.lit(4)) == 0, 1).otherwise(0)
-    plain = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line")).select(normalised(F.col("line")).alias("norm"))
-    plain = plain.filter((F.pmod(F.xxhash64("norm"), F.lit(64)) == 0) & ~norm.rlike(CUES)).groupBy("norm").agg(F.lit(1).alias("n")).orderBy(F.xxhash64("norm"), "norm").limit(rows // 4)
-    sample = some.union(plain).select("norm", label.alias("label"), held.alias("held"))
+    sample = candidates(docs).select("norm", label.alias("label"), held.alias("held"))
     sample = sample.union(spark.createDataFrame(own, "norm string, label int, held int"))
-    # The outer transform binds the grams once.
-    dense = F.expr(f"transform(array({_grams('norm')}), g -> transform(sequence(0, {FEATURES - 1}), i -> CASE WHEN array_contains(g, i) THEN 1D ELSE 0D END))[0]")
-    sample = sample.withColumn("features", array_to_vector(dense)).select("norm", "held", "features", F.col("label").cast("double")).coalesce(4).cache()
-    trained = LogisticRegression(family="multinomial", regParam=0.002, maxIter=30, standardization=False).fit(sample.filter("held = 0"))
+    # Sorted, so that sums over rows come out alike in reruns.
+    sample = settle(sample.sortWithinPartitions("norm", "held"), "license-candidates")
+    # The number of a gram is the word that stands for it: vectors are sparse.
+    numbers = CountVectorizerModel.from_vocabulary([str(k) for k in range(FEATURES)], inputCol="grams", outputCol="features", binary=True)
+    seen = sample.filter("held = 0").select(F.col("label").cast("double").alias("label"), F.expr(f"cast({_grams('norm')} AS array<string>)").alias("grams"))
+    trained = LogisticRegression(family="multinomial", regParam=0.002, maxIter=30, standardization=False).fit(numbers.transform(seen).select("label", "features"))
     model = Model(trained.coefficientMatrix.toArray(), trained.interceptVector.toArray(), LEAST)
     unknown = sample.filter("held = 1 AND label = 0").withColumn("p", F.expr(model.scored("norm"))).select(F.expr("array_max(slice(p, 2, size(p) - 1))").alias("p"))
-    top = unknown.agg(F.percentile("p", 1 - MISTAKES)).first()[0]
-    sample.unpersist()
-    model.least = min(0.95, max(LEAST, top or 0.0))
+    model.least = min(0.95, max(LEAST, _exceeded(unknown)))
+    discard(sample)
     return model
 
 
+def _exceeded(unknown: DataFrame) -> float:
+    """The least step that at most ``MISTAKES`` of all probabilities ``p`` exceed; 0 if there are none."""
+    counts = unknown.groupBy(F.least(F.ceil(F.col("p") * STEPS), F.lit(STEPS)).alias("step")).agg(F.count("*").alias("n"))
+    many = np.zeros(STEPS + 1, np.int64)
+    for row in counts.collect():
+        many[row["step"]] = row["n"]
+    above = many.sum() - np.cumsum(many)
+    return int(np.argmax(above <= MISTAKES * many.sum())) / STEPS
+
+
 def _cover(norm: str, family: str) -> str:
     """SQL for the best share of a template's words that a paragraph has, for the family's templates."""
     cases = []
@@ -169,12 +192,8 @@ def scan_licenses(docs: DataFrame, model: Model | None = None, id_col: str = "do
     """doc_id, candidate paragraphs, those of a believed and of a confirmed family, and the confirmed families."""
     model = model or fit(docs)
     names = "array('unknown', " + ", ".join(f"'{f}'" for f in FAMILIES) + ")"
-    cues = CUES.replace(chr(92), chr(92) * 2)
-    # A cue over a line end lies within the last and the first characters of the two lines.
-    spans = f"lower(concat(right(all[i], 40), ' ', left(all[i + 1], 40))) rlike '{cues}' AND NOT lower(all[i + 1]) rlike '{cues}'"
-    cued = f"lower(all[i]) rlike '{cues}' OR (i + 1 < size(all) AND {spans})"
-    df = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.expr(f"split(cast({text_col} AS string), '\\n', -1)"), F.array().cast("array<string>")).alias("all"))
-    df = df.withColumn("at", F.expr(f"CASE WHEN size(all) = 0 THEN cast(array() AS array<int>) ELSE filter(sequence(0, size(all) - 1), i -> {cued}) END"))
+    lines, at = _cued(text_col)
+    df = docs.select(F.col(id_col).alias("doc_id"), lines.alias("all")).withColumn("at", at)
     part = f"CASE WHEN j < i THEN right(all[j], {_REACH}) WHEN j > i THEN left(all[j], {_REACH}) ELSE all[j] END"
     around = [(a, b) for a in range(WRAPPED) for b in range(WRAPPED - a) if a + b]
     stretches = ", ".join(

@@ -460,3 +460,21 @@ def test_wrapped_licenses(spark):
     model = license_scan.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     got = {r["doc_id"]: r["licenses"] for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
     assert got == {1: "GPL", 2: "MIT", 3: "proprietary", 4: "", 5: "GPL,MIT", 6: ""}
+
+
+def test_license_model_and_threshold_come_from_all_candidates(spark, monkeypatch):
+    """Every distinct candidate is trained on or held out, also beyond ten thousand; the threshold counts all that are held."""
+    random = np.random.default_rng(11)
+    words = [f"w{k}" for k in random.integers(0, 10**9, 12_000)]
+    rows = [(k, f"a license for {w}\nno cue {w}\nthe copy\nright of {w}") for k, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert license_scan.candidates(df).count() == len(set(words))
+    settled = []
+    monkeypatch.setattr(license_scan, "settle", lambda t, name: settled.append(t) or t)
+    monkeypatch.setattr(license_scan, "discard", lambda *tables: None)
+    license_scan.fit(df)
+    assert settled[0].filter("norm LIKE 'a license for %'").count() == len(set(words))
+    assert settled[0].filter("held = 1").count() > 2500
+    shares = spark.createDataFrame([(k / 20_000,) for k in range(20_000)], "p double")
+    assert license_scan._exceeded(shares) == pytest.approx(np.quantile(np.arange(20_000) / 20_000, 1 - license_scan.MISTAKES), abs=2 / license_scan.STEPS)
+    assert license_scan._exceeded(shares.filter("p < 0")) == 0
