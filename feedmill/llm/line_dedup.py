@@ -7,22 +7,28 @@ the longer line's words; at this similarity, lines of fewer than 4 words only li
 
 Blocks. A fifth of the words changed moves a line's SimHash by some 13 bits of 64, and pigeonhole blocks for that radius
 have 4 bits: they meet everything. So lines meet by pieces that such a distance leaves whole, which is the pigeonhole
-argument on words: up to 9 words, one edit, the line without any one of its words; from 8 words on, a run of 3 words. Lines
-of fewer than ``SAMPLED`` words give all their runs, so that no pair is missed. Longer ones give the runs that begin with
-certain words, by the word's hash: one in 2, one in 4 from twice as many words on, and so on; a longer line's words are
-among a shorter one's, so two lines draw the same runs where their text is the same. ``sampled=False`` takes all runs and
-misses no pair, at several times the keys. The README has the measured recall.
-
-Frequent blocks. Blocks are counted, and those of one line go. A block of more than ``HOT`` lines is refined: of the lines
-that have such blocks the words are counted too, and the block is joined with each of a line's rarest words, as many as
-the edits allow and one more (prefix filtering: two lines within the distance share one of these; a word that no other
+argument on words: up to 9 words, one edit, the line without any one of its words; from 8 words on, a run of 3 words. All
+runs of a line count, so no pair is missed. (``sampled=True`` only takes runs that begin with certain words of lines of
+``SAMPLED`` words or more, and misses pairs; no query uses it.)
+
+Two exact bounds keep most runs from being shuffled with their lines. Runs are first counted alone, in ``PASSES`` shares
+by hash, and those of one line go. An edit changes 3 runs at most, so a line with more unshared runs than its edits can
+change has no partner and goes whole; a bitmap of fixed size (``FILTER_BITS``) tells before the shuffle, and letting a few
+pass that the counts then remove. Of the runs that a line shares, the least frequent are its blocks, one more than the
+edits can change beside the unshared ones (prefix filtering: the least frequent run that two lines within the distance
+have in common is among these of both).
+
+Frequent blocks. Blocks are counted again, and those of one line go. A block of more than ``HOT`` lines is refined: of the
+lines that have such blocks the words are counted too, and the block is joined with each of a line's rarest words, as many
+as the edits allow and one more (prefix filtering: two lines within the distance share one of these; a word that no other
 such line has lowers the number, and a line with more of them than edits allowed has no partner). So a phrase that many
 lines share never makes pairs by itself.
 
-Lines that meet are compared by a 64-bit SimHash of their words, ``RADIUS`` being far above what a fifth of the words
-changes, and then by edit distance, with a letter for each word (2 ** 20 letters, by hash). In a block all lines are first
-held against the least; after those links are contracted, only the lines outside the least one's group are held against
-the others. Of each connected group the first occurrence stays, in the order of doc_id (null last) and line.
+Lines that meet are compared by a 64-bit SimHash of their words, in the bits that no number of edits allowed can turn, by a
+parity of words that each edit changes in two bits at most, and then by edit distance, with a letter for each word (2 ** 20
+letters, by hash). In a block all lines are first held against the least; after those links are contracted, only the lines
+outside the least one's group are held against the others. Of each connected group the first occurrence stays, in the order
+of doc_id (null last) and line.
 
 Lines are cut, hashed and sketched in numpy over Arrow batches, some lines at a time; counting, joining, comparing and
 grouping are DataFrame work. Functions over arrays, which Spark interprets, took most of the time of a native form.
@@ -40,12 +46,13 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmill.operators.keyfilter import key_filter, might_hold
@@ -55,9 +62,14 @@ from .shared import STATE_SCHEMA, WORD, discard, settle, split_join, state_rows,
 from .winnowing import Words, _mixed, _slices
 
 MIN_WORDS = 1
-RADIUS = 26
 SIMILARITY = 0.8
-#: Words from which on a line gives a part of its runs only.
+#: Shares in which runs are counted, one after the other, to hold less on disk at a time.
+PASSES = 2
+#: Bits of the filter of shared pieces; its size is the bound of what is sent to every task (16 MB).
+FILTER_BITS = 1 << 27
+#: Bits of a piece's hash; equal hashes of different pieces only make lines meet once more.
+PART_BITS = 40
+#: Words from which on a line gives a part of its runs only, if sampled.
 SAMPLED = 20
 #: Lines of a block from which on it is refined by words.
 HOT = 64
@@ -116,39 +128,95 @@ def _document() -> list[Column]:
     return [F.coalesce(ids, F.lit(_LAST)).alias("doc"), F.xxhash64(text_of(), ids.isNull()).alias("tie")]
 
 
-def _blocks(distinct: DataFrame, sampled: bool) -> DataFrame:
-    """(part, k): a row for each piece of each line of 4 words or more.
+def _pieces(batches: Iterator[pa.RecordBatch], sampled: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys and word numbers of some lines, and line and hash of each piece of them, once a line, by line.
 
     The longer line of a pair has L words, of which d = L // 5 may go: (L - d) / (d + 1) words, rounded up, stay in a
     row: 3 or more from 10 words on; the shorter line has four fifths of L or more.
     """
+    for keys, words in _words_of(batches):
+        h, n, first = words.hash, words.count, words.first
+        parts, lines = [], []
+        for size in range(4, 10):
+            which = np.flatnonzero(n == size)
+            w = h[first[which][:, None] + np.arange(size)]
+            left = [w] if size == 4 else [w, *(np.delete(w, i, 1) for i in range(size))]
+            parts += [_joined(x, 1) for x in left]
+            lines += [which] * len(left)
+        many = n[words.text]
+        drawn = np.zeros(len(h), np.uint64)
+        for k in range(13 if sampled else 0):
+            drawn[many >= (SAMPLED if k == 0 else int(1.6 * SAMPLED) << (k - 1))] = (2 << k) - 1
+        runs = words.whole(3)
+        at = np.flatnonzero(runs & (many[: len(runs)] >= 8) & (h[: len(runs)] & drawn[: len(runs)] == 0))
+        parts.append(_joined(h[at[:, None] + np.arange(3)], 3))
+        lines.append(words.text[at])
+        # A slice has fewer than 2 ** 24 lines; line and piece fit one number.
+        both = np.unique(np.concatenate(lines).astype(np.uint64) << np.uint64(PART_BITS) | np.concatenate(parts) >> np.uint64(64 - PART_BITS))
+        yield keys, n, (both >> np.uint64(PART_BITS)).astype(np.int64), (both & np.uint64((1 << PART_BITS) - 1)).view(np.int64)
 
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, words in _words_of(batches):
-            h, n, first = words.hash, words.count, words.first
-            parts, lines = [], []
-            for size in range(4, 10):
-                which = np.flatnonzero(n == size)
-                w = h[first[which][:, None] + np.arange(size)]
-                left = [w] if size == 4 else [w, *(np.delete(w, i, 1) for i in range(size))]
-                parts += [_joined(x, 1) for x in left]
-                lines += [which] * len(left)
-            many = n[words.text]
-            drawn = np.zeros(len(h), np.uint64)
-            for k in range(13 if sampled else 0):
-                drawn[many >= (SAMPLED if k == 0 else int(1.6 * SAMPLED) << (k - 1))] = (2 << k) - 1
-            runs = words.whole(3)
-            at = np.flatnonzero(runs & (many[: len(runs)] >= 8) & (h[: len(runs)] & drawn[: len(runs)] == 0))
-            parts.append(_joined(h[at[:, None] + np.arange(3)], 3))
-            lines.append(words.text[at])
-            part, line = np.concatenate(parts), np.concatenate(lines)
-            order = np.lexsort((part, line))
-            part, line = part[order], line[order]
-            new = np.ones(len(part), bool)
-            new[1:] = (part[1:] != part[:-1]) | (line[1:] != line[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(part[new].view(np.int64)), pa.array(keys[line[new]])], ["part", "k"])
-
-    return distinct.select("k", "norm").mapInArrow(pieces, "part long, k long")
+
+def _blocks(distinct: DataFrame, sampled: bool) -> DataFrame:
+    """(part, k): a row for each piece of each line of 4 words or more."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, _, line, part in _pieces(batches, sampled):
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(keys[line])], ["part", "k"])
+
+    return distinct.select("k", "norm").mapInArrow(rows, "part long, k long")
+
+
+def _piece_counts(distinct: DataFrame, sampled: bool) -> DataFrame:
+    """(part, many): the pieces of more than one line, counted a share at a time."""
+    shares = []
+    for share in range(PASSES):
+
+        def rows(batches: Iterator[pa.RecordBatch], share: int = share) -> Iterator[pa.RecordBatch]:
+            for _, _, _, part in _pieces(batches, sampled):
+                yield pa.RecordBatch.from_arrays([pa.array(part[part % PASSES == share])], ["part"])
+
+        shares.append(_counted(distinct.select("k", "norm").mapInArrow(rows, "part long"), "line-pieces"))
+    return reduce(DataFrame.unionByName, shares)
+
+
+def _bitmap(counts: DataFrame) -> np.ndarray:
+    """Which bits the pieces set, as packed bytes; a row of 4 kB for each 32,768 bits reaches the driver."""
+    bits = counts.select(F.shiftright("part", PART_BITS + 1 - FILTER_BITS.bit_length()).alias("bit")).withColumn("slice", F.shiftright("bit", 15))
+    rows = bits.groupBy("slice").agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(F.lit(32767))).alias("bits"))
+    out = np.zeros((FILTER_BITS >> 15, 4096), np.uint8)
+    for row in rows.toLocalIterator():
+        out[row["slice"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return out.ravel()
+
+
+def _lost_runs(words: np.ndarray) -> np.ndarray:
+    """The most runs of 3 words of such a line that a partner can lack: 3 an edit, 2 an insertion, for all partners' lengths.
+
+    A partner with as many words allows n // 5 edits. Each word more is an insertion, and n % 5 >= 3 may win an edit by it.
+    """
+    return 3 * (words // 5) + np.maximum(0, words % 5 - 2)
+
+
+def _shared(distinct: DataFrame, counts: DataFrame, sampled: bool) -> DataFrame:
+    """(part, k): the least frequent shared pieces of each line that can have a partner, as many as it takes to lose none."""
+    sent = distinct.sparkSession.sparkContext.broadcast(_bitmap(counts))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n, line, part in _pieces(batches, sampled):
+            bit = part >> (PART_BITS + 1 - FILTER_BITS.bit_length())
+            may = (sent.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+            # What may be unshared beyond the pieces of now; of short lines and samples any one piece is enough.
+            spare = np.where((n < 10) | sampled, 1 << 30, _lost_runs(n) - np.bincount(line, minlength=len(keys)))
+            take = may & (np.bincount(line[may], minlength=len(keys)) + spare >= 0)[line]
+            yield pa.RecordBatch.from_arrays([pa.array(part[take]), pa.array(keys[line[take]]), pa.array(spare[line[take]].astype(np.int32))], ["part", "k", "spare"])
+
+    pieces = distinct.select("k", "norm").mapInArrow(rows, "part long, k long, spare int")
+    pieces = settle(split_join(pieces, counts, ["part"], "inner").select("part", "k", "spare", "many"), "line-shared")
+    of_line = Window.partitionBy("k")
+    pieces = pieces.withColumn("all", F.count("*").over(of_line)).withColumn("rank", F.row_number().over(of_line.orderBy("many", "part")))
+    rare = settle(pieces.filter(F.col("rank") <= F.col("all") + F.col("spare") + 1).select("part", "k"), "line-prefix")
+    sent.unpersist()
+    return rare
 
 
 def _joined(words: np.ndarray, seed: int) -> np.ndarray:
@@ -220,15 +288,14 @@ def _counted(rows: DataFrame, name: str) -> DataFrame:
 
 
 def _near() -> Column:
-    """Whether a pair's lengths, its words, and its SimHashes where there are words enough to tell, allow the similarity.
+    """Whether a pair's lengths, its words and its SimHashes allow the similarity; no pair that has it is refused.
 
-    ``odd`` has a bit for each 64th of the letters, set if the line has an odd number of them. An edit changes two bits at most.
+    ``firm`` has the bits of ``sim`` that were decided by more votes than the edits of any partner can turn, two each. ``odd`` has a bit for each 64th of the letters, set if the line has an odd number of them. An edit changes two bits at most.
     """
-    longest = F.greatest("n", "n_")
-    alike = F.bit_count(F.col("sim").bitwiseXOR(F.col("sim_"))) <= RADIUS
-    most = F.floor(longest * (1 - SIMILARITY) + 1e-9)
+    most = F.floor(F.greatest("n", "n_") * (1 - SIMILARITY) + 1e-9)
+    alike = F.col("sim").bitwiseXOR(F.col("sim_")).bitwiseAND(F.col("firm").bitwiseOR(F.col("firm_"))) == 0
     words = F.bit_count(F.col("odd").bitwiseXOR(F.col("odd_"))) <= 2 * most
-    return (F.abs(F.col("n") - F.col("n_")) <= most) & words & ((longest < 10) | alike)
+    return (F.abs(F.col("n") - F.col("n_")) <= most) & words & alike
 
 
 def _verified(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -249,38 +316,40 @@ def _edits(words: np.ndarray) -> np.ndarray:
 
 
 def _sketched(keys: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(k, n, sim, odd, letters) of the lines that meet others, and of a few more; a letter is a word's, by hash, so that distances count words."""
+    """(k, n, sim, firm, odd, letters) of the lines that meet others, and of a few more; a letter is a word's, by hash, so that distances count words."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, words in _words_of(batches):
-            n, sim = words.count, np.zeros(len(k), np.uint64)
+            n, sim, firm = words.count, np.zeros(len(k), np.uint64), np.zeros(len(k), np.uint64)
             for bit in range(64):
                 votes = np.add.reduceat((words.hash >> np.uint64(bit)).astype(np.uint8) & 1, words.first, dtype=np.int64)
                 sim |= (2 * votes > n).astype(np.uint64) << np.uint64(bit)
+                # A partner has n / SIMILARITY words at most, so n // 4 edits.
+                firm |= (np.abs(2 * votes - n) > 2 * (n // 4)).astype(np.uint64) << np.uint64(bit)
             odd = np.bitwise_xor.reduceat(np.uint64(1) << (words.hash & np.uint64(63)), words.first)
             text = (0x10000 + (words.hash & np.uint64(0xFFFFF))).astype("<u4").tobytes().decode("utf-32-le")
             letters = [text[a:b] for a, b in zip(words.first.tolist(), (words.first + n).tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n.astype(np.int32)), pa.array(sim.view(np.int64)), pa.array(odd.view(np.int64)), pa.array(letters, pa.string())], ["k", "n", "sim", "odd", "letters"])
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n.astype(np.int32)), pa.array(sim.view(np.int64)), pa.array(firm.view(np.int64)), pa.array(odd.view(np.int64)), pa.array(letters, pa.string())], ["k", "n", "sim", "firm", "odd", "letters"])
 
-    return _some(distinct.select("k", "norm"), keys).mapInArrow(sketch, "k long, n int, sim long, odd long, letters string")
+    return _some(distinct.select("k", "norm"), keys).mapInArrow(sketch, "k long, n int, sim long, firm long, odd long, letters string")
 
 
-def fuzzy_links(distinct: DataFrame, sampled: bool = True) -> DataFrame:
+def fuzzy_links(distinct: DataFrame, sampled: bool = False) -> DataFrame:
     """(node, component) of the distinct lines that link with another one."""
-    blocks = _blocks(distinct, sampled)
-    counts = _counted(blocks, "line-blocks")
-    number = counts.count()
-    shared = blocks.filter(might_hold(key_filter(counts.select("part"), number), number, F.col("part")))
-    shared = settle(split_join(shared, counts, ["part"], "inner").select("part", "k", "many"), "line-shared")
+    pieces = _piece_counts(distinct, sampled)
+    rare = _shared(distinct, pieces, sampled)
+    counts = _counted(rare, "line-blocks")
+    shared = settle(split_join(rare, counts, ["part"], "inner").select("part", "k", "many"), "line-meeting")
+    discard(pieces, rare)
     rows = shared.filter(F.col("many") <= HOT).select("part", "k")
     hot = shared.filter(F.col("many") > HOT)
     if (hot := None if hot.isEmpty() else hot) is not None:
         refined = settle(_refined(hot.select("part", "k"), distinct), "line-refined")
         rows = rows.unionByName(split_join(refined, _counted(refined, "line-refined-blocks"), ["part"], "inner").select("part", "k"))
     sketches = settle(_sketched(rows, distinct), "line-sketches")
-    near = settle(split_join(rows, sketches.drop("letters"), ["k"], "inner").select("part", "k", "n", "sim", "odd"), "line-near")
+    near = settle(split_join(rows, sketches.drop("letters"), ["k"], "inner").select("part", "k", "n", "sim", "firm", "odd"), "line-near")
     discard(counts, shared, *([refined] if hot is not None else []))
-    least = near.groupBy("part").agg(F.min("k").alias("k_"), F.min_by("sim", "k").alias("sim_"), F.min_by("odd", "k").alias("odd_"), F.min_by("n", "k").alias("n_"))
+    least = near.groupBy("part").agg(F.min("k").alias("k_"), F.min_by("sim", "k").alias("sim_"), F.min_by("firm", "k").alias("firm_"), F.min_by("odd", "k").alias("odd_"), F.min_by("n", "k").alias("n_"))
     stars = split_join(near, least, ["part"], "inner").filter((F.col("k") != F.col("k_")) & _near())
     links = settle(_verified(stars.select(F.col("k_").alias("a"), F.col("k").alias("b")).distinct(), sketches), "line-stars")
     first = components(links).withColumnRenamed("node", "k")
@@ -298,7 +367,7 @@ def fuzzy_links(distinct: DataFrame, sampled: bool = True) -> DataFrame:
     return groups
 
 
-def surplus_lines(docs: DataFrame, min_words: int = MIN_WORDS, sampled: bool = True) -> DataFrame:
+def surplus_lines(docs: DataFrame, min_words: int = MIN_WORDS, sampled: bool = False) -> DataFrame:
     """(doc, tie, places): the places of the lines to leave out, for each document that has any."""
     lines = settle(line_table(docs, min_words), "lines")
     # The first occurrence as one number: document times 2^32 plus place.

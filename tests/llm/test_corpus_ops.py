@@ -478,3 +478,38 @@ def test_license_model_and_threshold_come_from_all_candidates(spark, monkeypatch
     shares = spark.createDataFrame([(k / 20_000,) for k in range(20_000)], "p double")
     assert license_scan._exceeded(shares) == pytest.approx(np.quantile(np.arange(20_000) / 20_000, 1 - license_scan.MISTAKES), abs=2 / license_scan.STEPS)
     assert license_scan._exceeded(shares.filter("p < 0")) == 0
+
+
+def test_line_dedup_misses_no_pair_by_default(spark):
+    """Edits as evenly apart as they can be, insertions too, and texts whose SimHashes lie far apart: all at the similarity go."""
+    random = np.random.default_rng(12)
+    rows = []
+    for words in (*range(10, 20), 20, 31, 40, 64, 99, 160):
+        for _ in range(5):
+            line = [f"w{k}" for k in random.integers(0, 10**9, words)]
+            changed = [f"x{k}" if k % 5 == 4 else w for k, w in enumerate(line)]
+            shorter = [w for k, w in enumerate(line) if k % 5 != 4]
+            for a, b in ((line, changed), ([f"y{w}" for w in line], [f"y{w}" for w in shorter])):
+                rows += [(len(rows), " ".join(a)), (len(rows) + 1, " ".join(b))]
+    far = 0
+    while far < 5:  # the four words decide the bits in which the others are tied
+        a, b, c, d = (f"w{k}" for k in random.integers(0, 10**9, 4))
+        pair = [" ".join([a] * 8 + [b] * 8 + [x] * 4) for x in (c, d)]
+        votes = [line_dedup.Words([x]).hash[:, None] >> np.arange(64, dtype=np.uint64) & np.uint64(1) for x in pair]
+        if sum(x != y for x, y in zip(*(2 * v.sum(0) > 20 for v in votes))) > 26:
+            rows += [(len(rows), pair[0]), (len(rows) + 1, pair[1])]
+            far += 1
+    got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k for k, n in got.items() if n} == set(range(1, len(rows), 2))
+
+
+@pytest.mark.parametrize("words", range(8, 60))
+def test_bound_of_lost_runs(words):
+    """As many runs as it takes for partners of every length within the distance."""
+    most = 0
+    for other in range(4 * words // 5, 5 * words // 4 + 1):
+        edits = max(words, other) // 5
+        if abs(words - other) <= edits:
+            inserted = max(0, other - words)
+            most = max(most, 3 * (edits - inserted) + 2 * inserted)
+    assert line_dedup._lost_runs(np.array([words]))[0] == most
