@@ -13,8 +13,8 @@ runs of a line count, so no pair is missed. (``sampled=True`` only takes runs th
 
 Two exact bounds keep most runs from being shuffled with their lines. Runs are first counted alone, in ``PASSES`` shares
 by hash, and those of one line go. An edit changes 3 runs at most, so a line with more unshared runs than its edits can
-change has no partner and goes whole; a bitmap of fixed size (``FILTER_BITS``) tells before the shuffle, and letting a few
-pass that the counts then remove. Of the runs that a line shares, the least frequent are its blocks, one more than the
+change has no partner and goes whole; a bitmap of fixed size (``FILTER_BITS``) tells so before the shuffle, but for a few
+that the counts then remove. Of the runs that a line shares, the least frequent are its blocks, one more than the
 edits can change beside the unshared ones (prefix filtering: the least frequent run that two lines within the distance
 have in common is among these of both).
 

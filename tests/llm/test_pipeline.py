@@ -27,3 +27,13 @@ def test_stages(spark, sf_dir):
     assert packed.agg({"length": "sum"}).first()[0] == tokens
     places = packed.groupBy("sequence_id").agg({"length": "sum"}).collect()
     assert max(r[1] for r in places) <= 2048
+
+
+def test_lines_stage_leaves_out_no_pair(spark):
+    """Every fifth word changed, in long lines: the second document has nothing left in any pair."""
+    rows = []
+    for words in (31, 40, 64, 99, 160):
+        line = [f"w{len(rows)}x{k}" for k in range(words)]
+        rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(f"x{w}" if k % 5 == 4 else w for k, w in enumerate(line)))]
+    left = corpus_pipeline.lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r["doc_id"] for r in left.collect()} == set(range(0, len(rows), 2))
