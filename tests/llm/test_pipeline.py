@@ -5,6 +5,7 @@ import public_tokenizers
 from brute import WORDS
 
 from feedmill.llm import mixing, packing
+from feedmill.llm.winnowing import Words
 
 
 def test_stages(spark, sf_dir):
@@ -30,10 +31,12 @@ def test_stages(spark, sf_dir):
 
 
 def test_lines_stage_leaves_out_no_pair(spark):
-    """Every fifth word changed, in long lines: the second document has nothing left in any pair."""
+    """Every fifth word changed, and the others such that a sample of runs by their hash's low bits has none of them."""
+    words = [f"w{k}" for k in range(2000)]
+    odd = [w for w, h in zip(words, Words(words).hash.tolist()) if h & 1]
     rows = []
-    for words in (31, 40, 64, 99, 160):
-        line = [f"w{len(rows)}x{k}" for k in range(words)]
+    for size in (20, 31, 40, 64, 99, 160):
+        line, odd = odd[:size], odd[size:]
         rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(f"x{w}" if k % 5 == 4 else w for k, w in enumerate(line)))]
     left = corpus_pipeline.lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert {r["doc_id"] for r in left.collect()} == set(range(0, len(rows), 2))
