@@ -5,7 +5,8 @@ word-end BPE split before they merge: before a space that follows a character ot
 line end, and between a letter or digit and a comma or full stop that white space follows. Texts with runs of white
 space or of marks, where this is not certain, are encoded whole, and so are those in which the letter before the mark is
 one that a normaliser's composition or lower case turns into several characters, as it does the dotted capital I.
-Pieces that the cache lacks are encoded together if they are plain letters, else alone.
+Some texts at a time, the pieces are numbered by an Arrow dictionary, so that each distinct one is looked up once, and the
+ids are gathered by numbers. Pieces that the cache lacks are encoded together if they are plain letters, else alone.
 
 Strings of special tokens in a text, such as ``<|endoftext|>``, are ordinary text, as the tokenizer files' own
 description sets it: whoever writes a text must not be able to end a document in it.
@@ -14,18 +15,21 @@ description sets it: whoever writes a text must not be able to end a document in
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 
 #: Pieces that a worker keeps in each of two generations; only speed depends on it.
 CACHE_PIECES = 500_000
+#: Characters of texts whose pieces are numbered together.
+SLICE_CHARS = 1 << 22
 _ENCODERS: dict[str, "Encoder"] = {}
-#: Letters that become several characters when composed and in lower case.
-_EXPANDING = "".join(c for c in map(chr, range(0x80, 0x30000)) if len(unicodedata.normalize("NFC", c).lower()) > 1)
-#: Texts to be encoded whole.
-_UNSURE = re.compile(rf"\s\s|^\s|\s$|[\W_{_EXPANDING}][.,][ \n]|\x00")
+_SPACE, _NO_LETTER, _MARK, _NUL = 1, 2, 4, 8
+#: What characters are; the last place stands for all from there on. Letters that become several characters when composed and in lower case count as none.
+_KINDS = np.array(
+    [_SPACE * c.isspace() | _NO_LETTER * (not c.isalnum() or len(unicodedata.normalize("NFC", c).lower()) > 1) | _MARK * (c in ".,") | _NUL * (c == "\0") for c in map(chr, range(0x30000))], np.uint8
+)
 
 
 def encoder(path: str) -> "Encoder":
@@ -35,10 +39,24 @@ def encoder(path: str) -> "Encoder":
     return _ENCODERS[path]
 
 
-def _pieces(text: str) -> list[str]:
-    """The text's pieces: NUL leads those with no space before them, the others follow a space."""
+def _unsure(texts: list[str]) -> np.ndarray:
+    """Which texts are to be encoded whole: those with a space at an end or beside another, a mark after no letter, or a NUL."""
+    code = np.frombuffer(" ".join([*texts, ""]).encode("utf-32-le"), "<u4")
+    kind = _KINDS[np.minimum(code, len(_KINDS) - 1)]
+    space = (kind & _SPACE).astype(bool)
+    beside = np.flatnonzero(space[1:] & space[:-1]) + 1
+    marks = np.flatnonzero(kind & _MARK)
+    marks = marks[space[marks + 1] & ((marks == 0) | (kind[marks - 1] & _NO_LETTER != 0))]
+    ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    out = np.zeros(len(texts), bool)
+    out[np.searchsorted(ends, np.concatenate([beside, marks, np.flatnonzero(kind & _NUL)]), "right")] = True
+    return out | np.array([t[:1].isspace() or not t for t in texts], bool)
+
+
+def _marked(text: str) -> str:
+    """The text's pieces, each with a space after it: NUL leads those with no space before them, the others follow a space."""
     text = text.replace(", ", " \0, ").replace(". ", " \0. ").replace(".\n", " \0.\n").replace("\n", " \0\n \0")
-    return ("\0" + text).split(" ")
+    return f"\0{text} "
 
 
 class Encoder:
@@ -79,7 +97,7 @@ class Encoder:
             else:
                 marks = np.flatnonzero(ids == self.line_end[0])
                 starts, stops = np.append(0, marks + 1), np.append(marks, len(ids))
-            keys = some if lead == " " else ["\0" + w for w in some]
+            keys = [f"{w} " if lead == " " else f"\0{w} " for w in some]
             if len(starts) == len(some) and stops[-1] == len(ids):
                 self.known.update((key, ids[a:b].tobytes()) for key, a, b in zip(keys, starts.tolist(), stops.tolist()))
             else:
@@ -95,30 +113,53 @@ class Encoder:
                 self.known[piece] = ids
                 continue
             head = piece[:1] == "\0"
-            letters = piece[1:] if head else piece
+            letters = piece[head:-1]
             if letters.isalpha() and max(letters) < "ɐ":
                 (first if head else after).append(letters)
             else:
                 alone.append(piece)
         self._together(after, " ")
         self._together(first, "\n")
-        self.known.update(zip(alone, self._each([p[1:] if p[:1] == "\0" else " " + p for p in alone])))
+        self.known.update(zip(alone, self._each([p[1:-1] if p[:1] == "\0" else " " + p[:-1] for p in alone])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        for at in range(0, len(texts), 200):
-            some = texts[at : at + 200]
-            split = [None if _UNSURE.search(t) else _pieces(t) for t in some]
-            whole = iter(self._each([t for t, p in zip(some, split) if p is None]))
-            get, found, missing = self.known.get, [], set()
-            for pieces in split:
-                ids = [] if pieces is None else list(map(get, pieces))
-                if None in ids:
-                    missing.update(p for p, i in zip(pieces, ids) if i is None)
-                found.append(ids)
-            if missing:
-                self._learn(missing)
-                get = self.known.get
-                found = [[i if i is not None else get(p) for p, i in zip(pieces, ids)] if None in ids else ids for pieces, ids in zip(split, found)]
-            out += [next(whole) if pieces is None else b"".join(ids) for pieces, ids in zip(split, found)]
-        return out
+        some: list[str] = []
+        size = 0
+        for text in texts:
+            if some and size + len(text) > SLICE_CHARS:
+                out += self._encoded(some)
+                some, size = [], 0
+            some.append(text)
+            size += len(text)
+        return out + self._encoded(some)
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        unsure = _unsure(texts).tolist()
+        whole = iter(self._each([t for t, u in zip(texts, unsure) if u]))
+        parts = iter(self._by_pieces([_marked(t) for t, u in zip(texts, unsure) if not u]))
+        return [next(whole if u else parts) for u in unsure]
+
+    def _by_pieces(self, marked: list[str]) -> list[bytes]:
+        """Ids of texts that are given as pieces with a space after each."""
+        data = "".join(marked).encode()
+        stops = np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1
+        offsets = np.append(0, stops)
+        numbered = pa.LargeStringArray.from_buffers(len(stops), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        pieces = numbered.dictionary.to_pylist()
+        ids = list(map(self.known.get, pieces))
+        missing = {p for p, i in zip(pieces, ids) if i is None}
+        if missing:
+            self._learn(missing)
+            get = self.known.get
+            ids = [get(p) if i is None else i for p, i in zip(pieces, ids)]
+        # Each piece's ids stand once in one array; a text's are gathered from there.
+        many = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start, flat = np.cumsum(many) - many, np.frombuffer(b"".join(ids), "<u4")
+        which = numbered.indices.to_numpy()
+        sizes = many[which]
+        ends = np.append(0, np.cumsum(sizes))
+        got = flat[np.arange(ends[-1]) + np.repeat(start[which] - ends[:-1], sizes)].tobytes()
+        texts = np.append(0, np.cumsum([t.count(" ") for t in marked], dtype=np.int64))
+        bounds = (4 * ends[texts]).tolist()
+        return [got[a:b] for a, b in zip(bounds, bounds[1:])]

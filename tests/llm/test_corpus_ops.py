@@ -298,6 +298,30 @@ def test_encoder_gives_the_librarys_ids(docs):
         assert encoder(public_tokenizers.path(name)).encode(some) == want
 
 
+@pytest.mark.parametrize("slice_chars", [1 << 22, 50])
+def test_encoder_looks_up_distinct_pieces_only(monkeypatch, slice_chars):
+    """A word that stands ten thousand times costs one look-up per slice of texts, and ids stay the library's."""
+    from feedmill.llm import tokens
+
+    monkeypatch.setattr(tokens, "SLICE_CHARS", slice_chars)
+    asked = []
+
+    class Seen(dict):
+        def get(self, *key):
+            asked.append(key)
+            return super().get(*key)
+
+    some = ["again and " * 10_000 + "end", "", "one, two.\nthree", "", " x", "!. a", "three, one.", "İ, q", "a"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        known = tokens.Encoder(public_tokenizers.path(name))
+        known.known = Seen()
+        library = Tokenizer.from_file(public_tokenizers.path(name))
+        library.encode_special_tokens = True
+        assert [np.frombuffer(x, "<u4").tolist() for x in known.encode(some)] == [library.encode(t, add_special_tokens=False).ids for t in some]
+        assert len(asked) < 100
+        asked.clear()
+
+
 def test_language_id(spark, odd):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r["doc_id"]: r for r in language_id.identify_languages(docs).collect()}
