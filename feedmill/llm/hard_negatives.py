@@ -2,8 +2,9 @@
 
 Vectors become integers, floor(``SCALE`` * x). Candidates are dealt evenly to shards of ``SHARD_ROWS`` rows; a shard
 holds one list of its rows for each dimension, sorted by component. An anchor reads each list from the end that its own
-component's sign favours, in steps of ``STEP`` places; rows met for the first time are scored by random access, as integer
-inner products. What the places reached would score together is the threshold: no row not yet met scores more. The search
+component's sign favours, in steps of ``STEP`` places that double; rows met for the first time are scored by random access, as
+integer inner products. The anchors of a block read the lists together: a row that one of them meets is fetched once and
+scored for all whose search goes on, which only lets a search see more rows. What the places reached would score together is the threshold: no row not yet met scores more. The search
 of a shard ends when, for every window of the anchor, the threshold is strictly below the window's k-th score so far or
 below its lower end (ties go to the smaller id, so equality goes on), or when every row was met.
 
@@ -21,7 +22,7 @@ those of 0. An empty table gives no rows. Columns of other names are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,31 +57,61 @@ class Shard:
 
     def search(self, anchor: np.ndarray, allowed: np.ndarray, windows: list[tuple[int, int, int]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each window (factor, low, high), which takes scores with low <= factor * score <= high: the first k rows (places, scores)."""
+        return self.search_all(anchor[None, :], lambda _: allowed, [windows], k)[0]
+
+    def search_all(self, anchors: np.ndarray, allowed: Callable[[int], np.ndarray], windows: list[list[tuple[int, int, int]]], k: int) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+        """The same for several anchors, of which each has windows of its own and rows that are allowed."""
         many = len(self.vectors)
         met = np.zeros(many, bool)
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in windows]
-        down, up, used = anchor > 0, anchor < 0, anchor.any()
-        for at in range(0, many, STEP):
-            stop = min(at + STEP, many)
+        found = [[(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in own] for own in windows]
+        live = np.array([x for x, own in enumerate(windows) if own], np.int64)
+        at, step = 0, STEP
+        while len(live):
+            stop = min(at + step, many)
+            asking = anchors[live]
             # Anchor-signed access: from the end where products are largest. A zero adds nothing to any score.
-            rows = np.unique(np.concatenate([self.lists[many - stop : many - at, down].ravel(), self.lists[at:stop, up].ravel()])) if used else np.arange(many)
-            rows = rows[~met[rows]]
+            down, up = (asking > 0).any(0), (asking < 0).any(0)
+            new = np.zeros(many, bool)
+            new[self.lists[many - stop : many - at, down]] = True
+            new[self.lists[at:stop, up]] = True
+            if not asking.any(1).all():
+                new[:] = True
+            rows = np.flatnonzero(new & ~met)
             met[rows] = True
-            rows = rows[allowed[rows]]
-            scores = self.vectors[rows] @ anchor
-            for w, (factor, low, high) in enumerate(windows):
-                fits = (factor * scores >= low) & (factor * scores <= high)
-                if fits.any():
-                    p, s = np.append(found[w][0], rows[fits]), np.append(found[w][1], scores[fits])
-                    best = np.lexsort((p, -s))[:k]
-                    found[w] = p[best], s[best]
-            reached = np.where(down, self.values[many - stop], self.values[stop - 1])
-            threshold = int(reached @ anchor)
-            if stop == many or met.all() or all(factor * threshold < low or (len(s) == k and threshold < s[-1]) for (factor, low, _), (_, s) in zip(windows, found)):
-                break
+            scored = _products(self.vectors[rows], asking)
+            reached = np.maximum(asking, 0) @ self.values[many - stop] + np.minimum(asking, 0) @ self.values[stop - 1]
+            ends = np.full(len(live), stop == many or met.all())
+            for i, x in enumerate(live.tolist()):
+                mine = allowed(x)[rows]
+                places, scores = rows[mine], scored[i, mine]
+                for w, (factor, low, high) in enumerate(windows[x]):
+                    fits = (factor * scores >= low) & (factor * scores <= high)
+                    before, marks = found[x][w]
+                    if len(marks) == k:
+                        fits &= scores >= marks[-1]
+                    if fits.any():
+                        p, s = np.append(before, places[fits]), np.append(marks, scores[fits])
+                        if len(s) > 4 * k:
+                            best = s >= np.partition(s, len(s) - k)[len(s) - k]
+                            p, s = p[best], s[best]
+                        best = np.lexsort((p, -s))[:k]
+                        found[x][w] = p[best], s[best]
+                threshold = int(reached[i])
+                ends[i] |= all(factor * threshold < low or (len(s) == k and threshold < s[-1]) for (factor, low, _), (_, s) in zip(windows[x], found[x]))
+            live = live[~ends]
+            at, step = stop, 2 * step
         return found
 
 
+def _products(vectors: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """Inner products of each anchor with each vector; as doubles where these hold them exactly, which is faster."""
+    if not len(vectors):
+        return np.zeros((len(anchors), 0), np.int64)
+    if int(np.abs(vectors).max()) * int(np.abs(anchors).max()) * vectors.shape[1] < 1 << 53:
+        return (anchors.astype(np.float64) @ vectors.astype(np.float64).T).astype(np.int64)
+    return anchors @ vectors.T
+
+
 def _packed(rows: DataFrame, size: int, name: str) -> DataFrame:
     """Rows of up to ``size`` vectors of one length: (part, width, many, rids, ids, labels, vectors), numbers as bytes."""
     names = ["width", "many", "rids", "ids", "labels", "vectors"]
@@ -144,16 +175,25 @@ def _searched(shards: DataFrame, n_shards: int, blocks: DataFrame, k: int, bound
                 for width, shard, own in here:
                     if width != row["width"]:
                         continue
-                    for rid, label, vector in zip(rids.tolist(), labels.tolist(), vectors):
-                        if bounds is None:
-                            names, ranges, allowed = [0], [(1, -LAST_ID, LAST_ID)], (shard.labels == label) & (own != rid)
-                        else:
-                            low, high, factor = bounds
-                            names, scores = zip(*wanted[rid]) if rid in wanted else ((), ())
-                            ranges, allowed = [(factor, low * s, high * s) for s in scores], shard.labels != label
-                        if not names:
-                            continue
-                        for name, (places, scores) in zip(names, shard.search(vector, allowed, ranges, k)):
+                    place = {rid: x for x, rid in enumerate(own.tolist())}
+                    if bounds is None:
+                        named, ranges = [[0]] * len(rids), [[(1, -LAST_ID, LAST_ID)]] * len(rids)
+                    else:
+                        low, high, factor = bounds
+                        asked = [wanted.get(rid, []) for rid in rids.tolist()]
+                        named = [[name for name, _ in some] for some in asked]
+                        ranges = [[(factor, low * s, high * s) for _, s in some] for some in asked]
+
+                    def allowed(x: int, shard: Shard = shard, place: dict[int, int] = place) -> np.ndarray:
+                        if bounds is not None:
+                            return shard.labels != labels[x]
+                        rows = shard.labels == labels[x]
+                        if (itself := place.get(int(rids[x]))) is not None:
+                            rows[itself] = False
+                        return rows
+
+                    for rid, names, results in zip(rids.tolist(), named, shard.search_all(vectors, allowed, ranges, k)):
+                        for name, (places, scores) in zip(names, results):
                             out[0] += [rid] * len(places)
                             out[1] += [name] * len(places)
                             out[2] += shard.ids[places].tolist()

@@ -74,6 +74,28 @@ def test_threshold_stops_early():
     assert places.tolist() == [4095, 4094, 4093, 4092, 4091] and scores[0] == 3 * 4095 and sum(read) < 200
 
 
+def test_anchors_of_a_block_fetch_rows_together():
+    """Rows are fetched once for all anchors of a block, few times, and each anchor gets what a scan of all rows gives."""
+    random = np.random.default_rng(13)
+    x = random.integers(-300, 300, (3000, 16))
+    x[::50] = x[7]  # ties
+    labels = random.integers(0, 3, 3000)
+    shard = hard_negatives.Shard(np.arange(3000), labels, x)
+    fetched = []
+    shard.vectors = type("Seen", (), {"__getitem__": lambda self, rows: (fetched.append(len(rows)), x[rows])[1], "__len__": lambda self: 3000})()
+    anchors = np.concatenate([x[:40], np.zeros((1, 16), np.int64), np.full((1, 16), 1 << 20)])
+    windows = [[(1, -(1 << 62), 1 << 62), (100, 30 * 400_000, 90 * 400_000)]] * 41 + [[]]
+    got = shard.search_all(anchors, lambda a: labels != a % 3, windows, 10)
+    assert sum(fetched) <= 3000 and len(fetched) <= 8
+    for a, results in enumerate(got):
+        scores = x @ anchors[a]
+        for (factor, low, high), (places, found) in zip(windows[a], results):
+            all_of = np.flatnonzero((labels != a % 3) & (factor * scores >= low) & (factor * scores <= high))
+            want = all_of[np.lexsort((all_of, -scores[all_of]))][:10]
+            assert places.tolist() == want.tolist() and found.tolist() == scores[want].tolist()
+    assert got[41] == []
+
+
 # -- decontamination
 
 
