@@ -18,16 +18,17 @@ that the counts then remove. Of the runs that a line shares, the least frequent
 edits can change beside the unshared ones (prefix filtering: the least frequent run that two lines within the distance
 have in common is among these of both).
 
-Frequent blocks. Blocks are counted again, and those of one line go. A block of more than ``HOT`` lines is refined: of the
+Frequent blocks. Blocks are counted again, and those of one line go; of blocks that hold the same lines (long lines that
+are alike share many runs) one stays. A block of more than ``HOT`` lines is refined: of the
 lines that have such blocks the words are counted too, and the block is joined with each of a line's rarest words, as many
 as the edits allow and one more (prefix filtering: two lines within the distance share one of these; a word that no other
 such line has lowers the number, and a line with more of them than edits allowed has no partner). So a phrase that many
 lines share never makes pairs by itself.
 
 Lines that meet are compared by a 64-bit SimHash of their words, in the bits that no number of edits allowed can turn, by a
-parity of words that each edit changes in two bits at most, and then by edit distance, with a letter for each word (2 ** 20
+parity of words in ``PARITY`` numbers of 64 bits, which each edit changes in two bits at most, and then by edit distance, with a letter for each word (2 ** 20
 letters, by hash). In a block all lines are first held against the least; after those links are contracted, only the lines
-outside the least one's group are held against the others. Of each connected group the first occurrence stays, in the order
+outside the least one's group are held against the others, unless the two are known to share a larger block too. Of each connected group the first occurrence stays, in the order
 of doc_id (null last) and line.
 
 Lines are cut, hashed and sketched in numpy over Arrow batches, some lines at a time; counting, joining, comparing and
@@ -75,6 +76,11 @@ SAMPLED = 20
 HOT = 64
 #: Counters of the words of lines in frequent blocks; a fixed-size array that every task gets.
 COUNTERS = 1 << 18
+#: Numbers of 64 bits of a line's parity. One alone says nothing on lines of some 80 words, whose edits may turn all of its bits.
+PARITY = 4
+#: Larger blocks of a line that each of its blocks knows, to meet a pair once and not in every block it shares.
+BEFORE = 4
+_ODD = [f"odd{i}" for i in range(PARITY)]
 _LAST = (1 << 63) - 1
 #: Characters of lines that are handed on at a time.
 PIECE = 1 << 22
@@ -211,11 +217,12 @@ def _shared(distinct: DataFrame, counts: DataFrame, sampled: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(part[take]), pa.array(keys[line[take]]), pa.array(spare[line[take]].astype(np.int32))], ["part", "k", "spare"])
 
     pieces = distinct.select("k", "norm").mapInArrow(rows, "part long, k long, spare int")
-    pieces = settle(split_join(pieces, counts, ["part"], "inner").select("part", "k", "spare", "many"), "line-shared")
+    whole = pieces = settle(split_join(pieces, counts, ["part"], "inner").select("part", "k", "spare", "many"), "line-shared")
     of_line = Window.partitionBy("k")
     pieces = pieces.withColumn("all", F.count("*").over(of_line)).withColumn("rank", F.row_number().over(of_line.orderBy("many", "part")))
     rare = settle(pieces.filter(F.col("rank") <= F.col("all") + F.col("spare") + 1).select("part", "k"), "line-prefix")
-    sent.unpersist()
+    discard(whole)
+    sent.destroy()
     return rare
 
 
@@ -287,14 +294,30 @@ def _counted(rows: DataFrame, name: str) -> DataFrame:
     return settle(rows.groupBy("part").agg(F.count("*").alias("many")).filter("many > 1"), name)
 
 
+def _distinct_blocks(rows: DataFrame, name: str) -> DataFrame:
+    """(part, many): the blocks of more than one line, and of those with the same lines one.
+
+    Equal lines are told by their number, the least and the exclusive or of another hash: for two lines exactly, for more
+    by some 128 bits.
+    """
+    held = rows.groupBy("part").agg(F.count("*").alias("many"), F.min("k").alias("least"), F.bit_xor(F.xxhash64("k")).alias("lines")).filter("many > 1")
+    return settle(held.groupBy("many", "least", "lines").agg(F.min("part").alias("part")).select("part", "many"), name)
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    """(part, k, before) of (part, k, many): the blocks of the line that come just before this one, from large to small."""
+    of_line = Window.partitionBy("k").orderBy(F.desc("many"), "part")
+    return settle(rows.select("part", "k", F.collect_list("part").over(of_line.rowsBetween(-BEFORE, -1)).alias("before")), "line-ranked")
+
+
 def _near() -> Column:
     """Whether a pair's lengths, its words and its SimHashes allow the similarity; no pair that has it is refused.
 
-    ``firm`` has the bits of ``sim`` that were decided by more votes than the edits of any partner can turn, two each. ``odd`` has a bit for each 64th of the letters, set if the line has an odd number of them. An edit changes two bits at most.
+    ``firm`` has the bits of ``sim`` that were decided by more votes than the edits of any partner can turn, two each. The bits of ``odd0`` and so on stand for equal shares of the letters, set if the line has an odd number of them. An edit changes two bits at most.
     """
     most = F.floor(F.greatest("n", "n_") * (1 - SIMILARITY) + 1e-9)
     alike = F.col("sim").bitwiseXOR(F.col("sim_")).bitwiseAND(F.col("firm").bitwiseOR(F.col("firm_"))) == 0
-    words = F.bit_count(F.col("odd").bitwiseXOR(F.col("odd_"))) <= 2 * most
+    words = reduce(Column.__add__, [F.bit_count(F.col(c).bitwiseXOR(F.col(c + "_"))) for c in _ODD]) <= 2 * most
     return (F.abs(F.col("n") - F.col("n_")) <= most) & words & alike
 
 
@@ -316,7 +339,7 @@ def _edits(words: np.ndarray) -> np.ndarray:
 
 
 def _sketched(keys: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(k, n, sim, firm, odd, letters) of the lines that meet others, and of a few more; a letter is a word's, by hash, so that distances count words."""
+    """(k, n, sim, firm, odd0 and so on, letters) of the lines that meet others, and of a few more; a letter is a word's, by hash, so that distances count words."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, words in _words_of(batches):
@@ -326,30 +349,35 @@ def _sketched(keys: DataFrame, distinct: DataFrame) -> DataFrame:
                 sim |= (2 * votes > n).astype(np.uint64) << np.uint64(bit)
                 # A partner has n / SIMILARITY words at most, so n // 4 edits.
                 firm |= (np.abs(2 * votes - n) > 2 * (n // 4)).astype(np.uint64) << np.uint64(bit)
-            odd = np.bitwise_xor.reduceat(np.uint64(1) << (words.hash & np.uint64(63)), words.first)
+            bit, share = np.uint64(1) << (words.hash & np.uint64(63)), words.hash >> np.uint64(6) & np.uint64(PARITY - 1)
+            odd = [np.bitwise_xor.reduceat(np.where(share == i, bit, np.uint64(0)), words.first) for i in range(PARITY)]
             text = (0x10000 + (words.hash & np.uint64(0xFFFFF))).astype("<u4").tobytes().decode("utf-32-le")
             letters = [text[a:b] for a, b in zip(words.first.tolist(), (words.first + n).tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n.astype(np.int32)), pa.array(sim.view(np.int64)), pa.array(firm.view(np.int64)), pa.array(odd.view(np.int64)), pa.array(letters, pa.string())], ["k", "n", "sim", "firm", "odd", "letters"])
+            numbers = [pa.array(x.view(np.int64)) for x in (sim, firm, *odd)]
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n.astype(np.int32)), *numbers, pa.array(letters, pa.string())], ["k", "n", "sim", "firm", *_ODD, "letters"])
 
-    return _some(distinct.select("k", "norm"), keys).mapInArrow(sketch, "k long, n int, sim long, firm long, odd long, letters string")
+    return _some(distinct.select("k", "norm"), keys).mapInArrow(sketch, "k long, n int, sim long, firm long, " + "".join(f"{c} long, " for c in _ODD) + "letters string")
 
 
 def fuzzy_links(distinct: DataFrame, sampled: bool = False) -> DataFrame:
     """(node, component) of the distinct lines that link with another one."""
     pieces = _piece_counts(distinct, sampled)
     rare = _shared(distinct, pieces, sampled)
-    counts = _counted(rare, "line-blocks")
+    discard(pieces)
+    counts = _distinct_blocks(rare, "line-blocks")
     shared = settle(split_join(rare, counts, ["part"], "inner").select("part", "k", "many"), "line-meeting")
-    discard(pieces, rare)
-    rows = shared.filter(F.col("many") <= HOT).select("part", "k")
+    discard(rare)
+    rows = shared.filter(F.col("many") <= HOT)
     hot = shared.filter(F.col("many") > HOT)
     if (hot := None if hot.isEmpty() else hot) is not None:
         refined = settle(_refined(hot.select("part", "k"), distinct), "line-refined")
-        rows = rows.unionByName(split_join(refined, _counted(refined, "line-refined-blocks"), ["part"], "inner").select("part", "k"))
+        rows = rows.unionByName(split_join(refined, _distinct_blocks(refined, "line-refined-blocks"), ["part"], "inner").select("part", "k", "many"))
+    rows = _ranked(rows)
+    sketch = ["n", "sim", "firm", *_ODD]
     sketches = settle(_sketched(rows, distinct), "line-sketches")
-    near = settle(split_join(rows, sketches.drop("letters"), ["k"], "inner").select("part", "k", "n", "sim", "firm", "odd"), "line-near")
-    discard(counts, shared, *([refined] if hot is not None else []))
-    least = near.groupBy("part").agg(F.min("k").alias("k_"), F.min_by("sim", "k").alias("sim_"), F.min_by("firm", "k").alias("firm_"), F.min_by("odd", "k").alias("odd_"), F.min_by("n", "k").alias("n_"))
+    near = settle(split_join(rows, sketches.drop("letters"), ["k"], "inner").select("part", "k", "before", *sketch), "line-near")
+    discard(counts, shared, rows, *([refined] if hot is not None else []))
+    least = near.groupBy("part").agg(F.min("k").alias("k_"), *[F.min_by(c, "k").alias(c + "_") for c in sketch])
     stars = split_join(near, least, ["part"], "inner").filter((F.col("k") != F.col("k_")) & _near())
     links = settle(_verified(stars.select(F.col("k_").alias("a"), F.col("k").alias("b")).distinct(), sketches), "line-stars")
     first = components(links).withColumnRenamed("node", "k")
@@ -360,7 +388,8 @@ def fuzzy_links(distinct: DataFrame, sampled: bool = False) -> DataFrame:
     apart = settle(split_join(near, center, ["part"], "inner").filter(F.col("c") != F.col("center")).drop("center"), "line-apart")
     mixed = near.join(apart.select("part").distinct(), "part", "left_semi")
     right = mixed.select(*[F.col(c).alias(c + "_") for c in near.columns])
-    met = (F.col("part") == F.col("part_")) & (F.col("c") != F.col("c_")) & _near()
+    # Lines that are also in one block before this one meet there, or before that.
+    met = (F.col("part") == F.col("part_")) & (F.col("c") != F.col("c_")) & ~F.arrays_overlap("before", "before_") & _near()
     pairs = apart.join(right, met).select(F.least("k", "k_").alias("a"), F.greatest("k", "k_").alias("b")).distinct()
     groups = components(links.union(settle(_verified(pairs, sketches), "line-rest")))
     discard(sketches, near, apart, links)

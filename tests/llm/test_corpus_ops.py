@@ -527,6 +527,41 @@ def test_line_dedup_misses_no_pair_by_default(spark):
     assert {k for k, n in got.items() if n} == set(range(1, len(rows), 2))
 
 
+def test_alike_lines_meet_once(spark, monkeypatch):
+    """Long lines that share many runs: blocks of the same lines are one, and pairs below the similarity meet once or little more."""
+    random = np.random.default_rng(14)
+    rows = []
+    for _ in range(4):
+        line = [f"w{k}" for k in random.integers(0, 10**9, 100)]
+        for _ in range(12):
+            other = list(line)
+            for at in random.choice(100, 15, replace=False):  # two of these differ in more than 20 words
+                other[at] = f"x{random.integers(0, 10**9)}"
+            rows.append((len(rows), " ".join(other)))
+    distinct = line_dedup.line_table(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("k").agg(F.min("norm").alias("norm"))
+    blocks = line_dedup._blocks(distinct, False)
+    one = line_dedup._distinct_blocks(blocks, "test-blocks")
+    assert 0 < one.count() < blocks.groupBy("part").count().filter("count > 1").count()
+    ranked = line_dedup._ranked(blocks.join(one, "part"))
+    other = ranked.select(*[F.col(c).alias(c + "_") for c in ranked.columns])
+    pairs = ranked.join(other, (F.col("part") == F.col("part_")) & (F.col("k") < F.col("k_"))).select("k", "k_", "before", "before_")
+    met = pairs.filter(~F.arrays_overlap("before", "before_"))
+    assert met.select("k", "k_").distinct().count() == pairs.select("k", "k_").distinct().count()
+    assert 2 * met.count() < pairs.count()
+
+
+def test_sketches_of_long_lines_tell_them_apart(spark):
+    """Lines of 100 words with one run in common are refused before their letters are fetched; alike ones never are."""
+    random = np.random.default_rng(15)
+    rows = [(i, " ".join(["at the end", *(f"w{k}" for k in random.integers(0, 10**9, 97))])) for i in range(40)]
+    rows += [(40 + i, " ".join(f"y{j}" if j % 5 == 4 else w for j, w in enumerate(rows[i][1].split()))) for i in range(40)]
+    distinct = line_dedup.line_table(spark.createDataFrame(rows, "doc_id long, text string")).select("doc", "k", "norm")
+    sketches = line_dedup._sketched(distinct, distinct).drop("letters").join(distinct.select("k", "doc"), "k")
+    other = sketches.select(*[F.col(c).alias(c + "_") for c in sketches.columns])
+    near = {(r["doc"], r["doc_"]) for r in sketches.join(other, F.col("doc") < F.col("doc_")).filter(line_dedup._near()).collect()}
+    assert near == {(i, 40 + i) for i in range(40)}
+
+
 @pytest.mark.parametrize("words", range(8, 60))
 def test_bound_of_lost_runs(words):
     """As many runs as it takes for partners of every length within the distance."""
