@@ -27,8 +27,9 @@ lines share never makes pairs by itself.
 
 Lines that meet are compared by a 64-bit SimHash of their words, in the bits that no number of edits allowed can turn, by a
 parity of words in ``PARITY`` numbers of 64 bits, which each edit changes in two bits at most, and then by edit distance, with a letter for each word (2 ** 20
-letters, by hash). In a block all lines are first held against the least; after those links are contracted, only the lines
-outside the least one's group are held against the others, unless the two are known to share a larger block too. Of each connected group the first occurrence stays, in the order
+letters, by hash). In a block all lines are first held against the least; after those links are contracted, the least of the lines
+outside its group is held against the others and leaves the block, ``PIVOTS`` times, each time with what links contracted. What is then
+still outside is held against the others, unless the two are known to share a larger block too. Of each connected group the first occurrence stays, in the order
 of doc_id (null last) and line.
 
 Lines are cut, hashed and sketched in numpy over Arrow batches, some lines at a time; counting, joining, comparing and
@@ -80,6 +81,8 @@ COUNTERS = 1 << 18
 PARITY = 4
 #: Larger blocks of a line that each of its blocks knows, to meet a pair once and not in every block it shares.
 BEFORE = 4
+#: Times that a line of each block outside its least line's group is held against the block, before the others are held against each other.
+PIVOTS = 2
 _ODD = [f"odd{i}" for i in range(PARITY)]
 _LAST = (1 << 63) - 1
 #: Characters of lines that are handed on at a time.
@@ -313,12 +316,14 @@ def _ranked(rows: DataFrame) -> DataFrame:
 def _near() -> Column:
     """Whether a pair's lengths, its words and its SimHashes allow the similarity; no pair that has it is refused.
 
-    ``firm`` has the bits of ``sim`` that were decided by more votes than the edits of any partner can turn, two each. The bits of ``odd0`` and so on stand for equal shares of the letters, set if the line has an odd number of them. An edit changes two bits at most.
+    ``firm`` has the bits of ``sim`` that were decided by more votes than the edits of any partner can turn, two each. The bits of ``odd0`` and so on stand for equal shares of the letters, set if the line has an odd number of them. A changed word
+    turns two bits at most, a word more or less one, so lines of different lengths may differ in so many bits less.
     """
     most = F.floor(F.greatest("n", "n_") * (1 - SIMILARITY) + 1e-9)
+    apart = F.abs(F.col("n") - F.col("n_"))
     alike = F.col("sim").bitwiseXOR(F.col("sim_")).bitwiseAND(F.col("firm").bitwiseOR(F.col("firm_"))) == 0
-    words = reduce(Column.__add__, [F.bit_count(F.col(c).bitwiseXOR(F.col(c + "_"))) for c in _ODD]) <= 2 * most
-    return (F.abs(F.col("n") - F.col("n_")) <= most) & words & alike
+    words = reduce(Column.__add__, [F.bit_count(F.col(c).bitwiseXOR(F.col(c + "_"))) for c in _ODD]) <= 2 * most - apart
+    return (apart <= most) & words & alike
 
 
 def _verified(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -385,7 +390,12 @@ def fuzzy_links(distinct: DataFrame, sampled: bool = False) -> DataFrame:
     near = settle(near, "line-groups")
     discard(ungrouped)
     center = near.groupBy("part").agg(F.min_by("c", "k").alias("center"))
-    apart = settle(split_join(near, center, ["part"], "inner").filter(F.col("c") != F.col("center")).drop("center"), "line-apart")
+    apart = settle(split_join(near, center, ["part"], "inner").filter(F.col("c") != F.col("center")), "line-apart")
+    for _ in range(PIVOTS):
+        if apart.isEmpty():
+            break
+        near, apart, more = _pivoted(near, apart, first, sketches)
+        links = links.union(more)
     mixed = near.join(apart.select("part").distinct(), "part", "left_semi")
     right = mixed.select(*[F.col(c).alias(c + "_") for c in near.columns])
     # Lines that are also in one block before this one meet there, or before that.
@@ -396,6 +406,33 @@ def fuzzy_links(distinct: DataFrame, sampled: bool = False) -> DataFrame:
     return groups
 
 
+def _pivoted(near: DataFrame, apart: DataFrame, first: DataFrame, sketches: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The least line apart of each block is held against all outside its group and leaves the block, and what links is contracted.
+
+    Returns the blocks that still have lines apart, these lines, and the links found. ``first`` has the groups of the stars,
+    by which groups are named; groups that have met since are named by the least of them.
+    """
+    sketch = ["n", "sim", "firm", *_ODD]
+    pivot = settle(apart.groupBy("part").agg(F.min("k").alias("k_"), *[F.min_by(c, "k").alias(c + "_") for c in ["c", *sketch]]), "line-pivots")
+    tried = split_join(near, pivot, ["part"], "inner").filter((F.col("c") != F.col("c_")) & _near())
+    tried = tried.select(F.least("k", "k_").alias("a"), F.greatest("k", "k_").alias("b")).distinct()
+    more = settle(_verified(tried, sketches), "line-more")
+    group = first.select(F.col("k").alias("a"), F.col("component").alias("ca"))
+    ends = split_join(more, group, ["a"]).withColumn("ca", F.coalesce("ca", "a"))
+    ends = split_join(ends, group.toDF("b", "cb"), ["b"]).withColumn("cb", F.coalesce("cb", "b"))
+    moves = settle(components(ends.select("ca", "cb")), "line-moves")
+
+    def moved(rows: DataFrame, column: str) -> DataFrame:
+        return split_join(rows, moves.toDF(column, "to"), [column]).withColumn(column, F.coalesce("to", column)).drop("to")
+
+    left = split_join(apart, pivot.select("part", "k_"), ["part"], "inner").filter("k <> k_").drop("k_")
+    left = settle(moved(moved(left, "c"), "center").filter(F.col("c") != F.col("center")), "line-apart")
+    still = split_join(near, pivot.select("part", "k_"), ["part"], "inner").filter("k <> k_").drop("k_")
+    still = settle(moved(still.join(left.select("part").distinct(), "part", "left_semi"), "c"), "line-groups")
+    discard(near, apart, pivot, moves)
+    return still, left, more
+
+
 def surplus_lines(docs: DataFrame, min_words: int = MIN_WORDS, sampled: bool = False) -> DataFrame:
     """(doc, tie, places): the places of the lines to leave out, for each document that has any."""
     lines = settle(line_table(docs, min_words), "lines")

@@ -572,3 +572,49 @@ def test_bound_of_lost_runs(words):
             inserted = max(0, other - words)
             most = max(most, 3 * (edits - inserted) + 2 * inserted)
     assert line_dedup._lost_runs(np.array([words]))[0] == most
+
+
+def test_line_groups_meet_before_their_lines_are_paired(spark, monkeypatch):
+    """A family of one line: groups that link are contracted line by line, few pairs are left for the comparison of all, and no link is lost."""
+    random = np.random.default_rng(11)
+    base, lines = [f"w{k}" for k in range(40)], []
+    for number in range(120):
+        line = list(base)
+        for at in sorted(random.choice(40, 6 if number % 8 == 0 else 3, replace=False).tolist(), reverse=True):
+            line[at : at + 1] = [[], [f"x{number}n{at}"], [line[at], f"y{number}n{at}"]][int(random.integers(3))]
+        lines.append(line)
+    met, verified = [], line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, sketches: met.append(pairs.count()) or verified(pairs, sketches))
+    distinct = line_dedup.line_table(spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(lines)], "doc_id long, text string"))
+    first = {r["k"]: r["doc"] for r in distinct.collect()}
+    component = {first[r["node"]]: r["component"] for r in line_dedup.fuzzy_links(distinct.groupBy("k").agg(F.min("norm").alias("norm"))).collect()}
+    plain = brute.groups(len(lines), lambda a, b: words_apart(lines[a], lines[b]) <= max(len(lines[a]), len(lines[b])) // 5)
+    for a in range(len(lines)):
+        for b in range(a):
+            assert (plain[a] == plain[b]) == (component.get(a, ("alone", a)) == component.get(b, ("alone", b)))
+    assert 10 * met[-1] < met[0], met
+
+
+def words_apart(a, b):
+    """Edit distance in words."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def test_near_counts_words_more_or_less_once(spark):
+    """Twelve words less and four others more: 16 bits as eight changed words have, but twelve edits at least, where nine are allowed."""
+    base = [f"w{k}" for k in range(48)]
+    lines = [base, [f"z{k}" for k in range(4)] + base[:36], base[3:] + ["q1", "q2"], base[:40]]
+    df = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(lines)], "doc_id long, text string")
+    distinct = line_dedup.line_table(df).select("doc", "k", "norm")
+    sketches = line_dedup._sketched(distinct, distinct).drop("letters").join(distinct.select("k", "doc"), "k")
+    other = sketches.select(*[F.col(c).alias(c + "_") for c in sketches.columns])
+    near = {(r["doc"], r["doc_"]) for r in sketches.join(other, F.col("doc") < F.col("doc_")).filter(line_dedup._near()).collect()}
+    assert {(0, 2), (0, 3), (1, 3)} <= near  # 5, 8 and 8 edits
+    edits = {(a, b): words_apart(lines[a], lines[b]) for a in range(4) for b in range(a + 1, 4)}
+    assert all(pair in near for pair, apart in edits.items() if apart <= max(len(lines[x]) for x in pair) // 5)
+    assert (0, 1) not in near and edits[0, 1] > 9
