@@ -29,6 +29,8 @@ END_ID = 1
 MAX_BITS = 16
 CHECKPOINT = 256
 BLOCK_TOKENS = 1 << 16
+#: Tokens of documents, or of blocks, that are encoded or decoded side by side; only speed depends on it.
+SLICE_TOKENS = 1 << 19
 BLOCK_SCHEMA = "part int, block int, start_in_part long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, doc_bytes array<long>, checkpoints array<long>, payload binary"
 
 
@@ -88,20 +90,43 @@ def decoding_table(lengths: np.ndarray, limit: int = MAX_BITS) -> tuple[np.ndarr
 
 def encode_ids(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The code of a document and the bit offsets of its checkpoints."""
+    code, _, checkpoints = encode_documents(ids, np.array([len(ids)]), lengths, codes)
+    return code, checkpoints
+
+
+def encode_documents(ids: np.ndarray, counts: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The codes of documents one after the other, the bytes of each, and the bit offsets of their checkpoints, from 0 in each.
+
+    ``ids`` are those of all documents, ``counts`` how many each has.
+    """
     size = lengths[ids].astype(np.int64)
-    end = np.cumsum(size)
-    at = end - size
-    total = int(end[-1]) if len(ids) else 0
-    words = np.zeros(total // 64 + 2, np.uint64)
+    end = np.append(0, np.cumsum(size))
+    first = np.cumsum(counts) - counts
+    n_bytes = (end[first + counts] - end[first] + 7) // 8
+    begin = 8 * (np.cumsum(n_bytes) - n_bytes)
+    at = end[:-1] + np.repeat(begin - end[first], counts)
+    total = int(n_bytes.sum())
+    words = np.zeros(total // 8 + 2, np.uint64)
     word, free = at >> 6, 64 - (at & 63) - size  # bits left in the word; negative if the code runs over
     code = codes[ids]
     here = np.where(free >= 0, code << np.maximum(free, 0).astype(np.uint64), code >> np.maximum(-free, 0).astype(np.uint64))
     if len(ids):
-        first = np.flatnonzero(np.diff(word, prepend=-1))
-        words[word[first]] = np.bitwise_or.reduceat(here, first)
+        change = np.flatnonzero(np.diff(word, prepend=-1))
+        words[word[change]] = np.bitwise_or.reduceat(here, change)
         over = np.flatnonzero(free < 0)
         words[word[over] + 1] |= code[over] << (64 + free[over]).astype(np.uint64)
-    return words.byteswap().tobytes()[: (total + 7) // 8], at[::CHECKPOINT]
+    marks = np.flatnonzero((np.arange(len(ids)) - np.repeat(first, counts)) % CHECKPOINT == 0)
+    checkpoints = at[marks] - np.repeat(begin, -(-counts // CHECKPOINT))
+    return words.byteswap().tobytes()[:total], n_bytes, checkpoints
+
+
+def _shares(counts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Stretches of rows with about ``SLICE_TOKENS`` tokens each, one row at least."""
+    at, ends = 0, np.cumsum(counts)
+    while at < len(counts):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_TOKENS, "right")))
+        yield at, stop
+        at = stop
 
 
 def decode_stretches(payload: bytes, starts: np.ndarray, counts: np.ndarray, table: tuple[np.ndarray, np.ndarray], limit: int = MAX_BITS) -> np.ndarray:
@@ -155,12 +180,17 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            coded = [encode_ids(np.frombuffer(x, kind), lengths, codes) for x in batch.column(2).to_pylist()]
-            n = [len(x) // np.dtype(kind).itemsize for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array([c[0] for c in coded], pa.binary()), pa.array([c[1].tolist() for c in coded], pa.list_(pa.int64()))],
-                ["part", "doc_id", "n_tokens", "code", "checkpoints"],
-            )
+            texts = batch.column(2).to_pylist()
+            counts = np.array([len(x) // np.dtype(kind).itemsize for x in texts], np.int64)
+            for a, b in _shares(counts):
+                n = counts[a:b]
+                code, n_bytes, checkpoints = encode_documents(np.frombuffer(b"".join(texts[a:b]), kind), n, lengths, codes)
+                ends = np.append(0, np.cumsum(n_bytes)).tolist()
+                marks = np.append(0, np.cumsum(-(-n // CHECKPOINT))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[a:b], batch.column(1)[a:b], pa.array(n), pa.array([code[x:y] for x, y in zip(ends, ends[1:])], pa.binary()), pa.ListArray.from_arrays(marks, pa.array(checkpoints))],
+                    ["part", "doc_id", "n_tokens", "code", "checkpoints"],
+                )
 
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     share = ", ".join(str(k / parts) for k in range(1, parts))
@@ -219,19 +249,22 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = decoding_table(lengths)
         for batch in batches:
-            for row in batch.to_pylist():
-                tokens = np.array(row["doc_tokens"], np.int64)
-                size = np.array(row["doc_bytes"], np.int64)
+            for a, b in _shares(batch.column("n_tokens").to_numpy()):
+                some = batch.slice(a, b - a)
+                doc_ids, tokens, size, checkpoints = (some.column(c).flatten() for c in ("doc_ids", "doc_tokens", "doc_bytes", "checkpoints"))
+                tokens, size = tokens.to_numpy(), size.to_numpy()
                 stretches = -(-tokens // CHECKPOINT)
                 doc = np.repeat(np.arange(len(tokens)), stretches)
-                starts = np.array(row["checkpoints"], np.int64) + 8 * (np.cumsum(size) - size)[doc]
+                starts = checkpoints.to_numpy() + 8 * (np.cumsum(size) - size)[doc]
                 rank = np.arange(len(doc)) - (np.cumsum(stretches) - stretches)[doc]
                 counts = np.minimum(CHECKPOINT, tokens[doc] - rank * CHECKPOINT)
-                ids = decode_stretches(row["payload"], starts, counts, table).astype("<u4")
+                ids = decode_stretches(b"".join(some.column("payload").to_pylist()), starts, counts, table).astype("<u4")
                 ends = np.cumsum(tokens)
-                each = [ids[b - n : b].tobytes() for b, n in zip(ends.tolist(), tokens.tolist())]
-                start = begin[row["part"]] + row["start_in_part"] + ends - tokens
-                columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(start), pa.array(tokens), pa.array([zlib.crc32(x) for x in each], pa.int64())]
+                each = [ids[y - n : y].tobytes() for y, n in zip(ends.tolist(), tokens.tolist())]
+                of_block = some.column("n_tokens").to_numpy()
+                before = np.array([begin[p] for p in some.column("part").to_pylist()], np.int64) + some.column("start_in_part").to_numpy() - (np.cumsum(of_block) - of_block)
+                start = np.repeat(before, [len(x) for x in some.column("doc_ids")]) + ends - tokens
+                columns = [doc_ids, pa.array(start), pa.array(tokens), pa.array([zlib.crc32(x) for x in each], pa.int64())]
                 names = ["doc_id", "start", "n_tokens", "ids_crc32"]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(each, pa.binary())] * with_ids, names + ["ids"] * with_ids)
 

@@ -24,6 +24,8 @@ import pyarrow as pa
 CACHE_PIECES = 500_000
 #: Characters of texts whose pieces are numbered together.
 SLICE_CHARS = 1 << 22
+#: Words that are encoded as one text; only speed depends on it, and longer texts take the library more time a word.
+WORDS_TOGETHER = 300
 _ENCODERS: dict[str, "Encoder"] = {}
 _SPACE, _NO_LETTER, _MARK, _NUL = 1, 2, 4, 8
 #: What characters are; the last place stands for all from there on. Letters that become several characters when composed and in lower case count as none.
@@ -84,8 +86,8 @@ class Encoder:
 
     def _together(self, words: list[str], lead: str) -> None:
         """Ids of words of plain letters that follow a space, or that nothing precedes."""
-        for at in range(0, len(words), 1000):
-            some = words[at : at + 1000]
+        for at in range(0, len(words), WORDS_TOGETHER):
+            some = words[at : at + WORDS_TOGETHER]
             joined = lead + lead.join(some) if lead == " " else lead.join(some)
             ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
             if self.ends.any():
@@ -99,7 +101,8 @@ class Encoder:
                 starts, stops = np.append(0, marks + 1), np.append(marks, len(ids))
             keys = [f"{w} " if lead == " " else f"\0{w} " for w in some]
             if len(starts) == len(some) and stops[-1] == len(ids):
-                self.known.update((key, ids[a:b].tobytes()) for key, a, b in zip(keys, starts.tolist(), stops.tolist()))
+                data = ids.tobytes()
+                self.known.update(zip(keys, [data[a:b] for a, b in zip((4 * starts).tolist(), (4 * stops).tolist())]))
             else:
                 self.known.update(zip(keys, self._each([" " * (lead == " ") + w for w in some])))
 
@@ -114,7 +117,7 @@ class Encoder:
                 continue
             head = piece[:1] == "\0"
             letters = piece[head:-1]
-            if letters.isalpha() and max(letters) < "ɐ":
+            if letters.isalpha() and (letters.isascii() or max(letters) < "ɐ"):
                 (first if head else after).append(letters)
             else:
                 alone.append(piece)

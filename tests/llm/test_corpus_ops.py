@@ -618,3 +618,26 @@ def test_near_counts_words_more_or_less_once(spark):
     edits = {(a, b): words_apart(lines[a], lines[b]) for a in range(4) for b in range(a + 1, 4)}
     assert all(pair in near for pair, apart in edits.items() if apart <= max(len(lines[x]) for x in pair) // 5)
     assert (0, 1) not in near and edits[0, 1] > 9
+
+
+def test_documents_are_coded_together():
+    """Documents coded side by side have the bytes and checkpoints each has alone, and are decoded together."""
+    random = np.random.default_rng(5)
+    weights = random.integers(1, 10**6, 300) ** 2
+    lengths = token_output.code_lengths(weights)
+    codes = token_output.canonical_codes(lengths)
+    counts = np.array([1, 256, 257, 1, 700, 0, 3, 512, 90])
+    ids = random.integers(0, 300, counts.sum())
+    ends = np.cumsum(counts)
+    code, n_bytes, checkpoints = token_output.encode_documents(ids, counts, lengths, codes)
+    alone = [token_output.encode_ids(ids[b - n : b], lengths, codes) for b, n in zip(ends, counts)]
+    assert code == b"".join(c for c, _ in alone) and n_bytes.tolist() == [len(c) for c, _ in alone]
+    assert checkpoints.tolist() == [x for _, marks in alone for x in marks]
+    stretches = -(-counts // token_output.CHECKPOINT)
+    doc = np.repeat(np.arange(len(counts)), stretches)
+    rank = np.arange(len(doc)) - (np.cumsum(stretches) - stretches)[doc]
+    left = np.minimum(token_output.CHECKPOINT, counts[doc] - rank * token_output.CHECKPOINT)
+    back = token_output.decode_stretches(code, checkpoints + 8 * (np.cumsum(n_bytes) - n_bytes)[doc], left, token_output.decoding_table(lengths))
+    assert back.tolist() == ids.tolist()
+    shares = list(token_output._shares(np.array([1 << 18, 1 << 18, 1, 1 << 20, 5])))
+    assert shares == [(0, 2), (2, 3), (3, 4), (4, 5)] and not list(token_output._shares(np.zeros(0, np.int64)))
