@@ -11,10 +11,10 @@ argument on words: up to 9 words, one edit, the line without any one of its word
 runs of a line count, so no pair is missed. (``sampled=True`` only takes runs that begin with certain words of lines of
 ``SAMPLED`` words or more, and misses pairs; no query uses it.)
 
-Two exact bounds keep most runs from being shuffled with their lines. Runs are first counted alone, in ``PASSES`` shares
-by hash, and those of one line go. An edit changes 3 runs at most, so a line with more unshared runs than its edits can
+Two exact bounds keep most runs from being shuffled with their lines. Runs are first counted alone, 4 bytes each in buckets
+of their hashes, and those of one line go. An edit changes 3 runs at most, so a line with more unshared runs than its edits can
 change has no partner and goes whole; a bitmap of fixed size (``FILTER_BITS``) tells so before the shuffle, but for a few
-that the counts then remove. Of the runs that a line shares, the least frequent are its blocks, one more than the
+that the counts of blocks then remove. Of the runs that a line shares, the least frequent are its blocks, one more than the
 edits can change beside the unshared ones (prefix filtering: the least frequent run that two lines within the distance
 have in common is among these of both).
 
@@ -27,7 +27,9 @@ lines share never makes pairs by itself.
 
 Lines that meet are compared by a 64-bit SimHash of their words, in the bits that no number of edits allowed can turn, by a
 parity of words in ``PARITY`` numbers of 64 bits, which each edit changes in two bits at most, and then by edit distance, with a letter for each word (2 ** 20
-letters, by hash). In a block all lines are first held against the least; after those links are contracted, the least of the lines
+letters, by hash). In a block of ``HOT`` lines at most all pairs are tested so in numpy, and those that pass are measured: first those
+of the least line, and after these links are contracted those that lead from one group to another. In a larger block all lines are
+first held against the least; after those links are contracted, the least of the lines
 outside its group is held against the others and leaves the block, ``PIVOTS`` times, each time with what links contracted. What is then
 still outside is held against the others, unless the two are known to share a larger block too. Of each connected group the first occurrence stays, in the order
 of doc_id (null last) and line.
@@ -60,13 +62,17 @@ from pyspark.sql import functions as F
 from feedmill.operators.keyfilter import key_filter, might_hold
 
 from .components import components
-from .shared import STATE_SCHEMA, WORD, discard, settle, split_join, state_rows, summed_states, text_of
+from .shared import STATE_SCHEMA, WORD, discard, grouped, settle, split_join, state_rows, summed_states, text_of
 from .winnowing import Words, _mixed, _slices
 
 MIN_WORDS = 1
 SIMILARITY = 0.8
-#: Shares in which runs are counted, one after the other, to hold less on disk at a time.
-PASSES = 2
+#: Runs are counted by buckets of their hashes, named by so many bits; the rest of a hash fits 4 bytes.
+BUCKET_BITS = 10
+#: Places of a fixed-size array, of a byte each, that says how frequent pieces are (4 MB); it sets an order only.
+LEVELS = 1 << 22
+#: Runs that a task holds before it deals them to buckets (32 MB).
+HELD = 1 << 22
 #: Bits of the filter of shared pieces; its size is the bound of what is sent to every task (16 MB).
 FILTER_BITS = 1 << 27
 #: Bits of a piece's hash; equal hashes of different pieces only make lines meet once more.
@@ -92,14 +98,18 @@ _UNSPACED = regex.compile("[" + "".join(rf"\p{{Script={name}}}" for name in ("Ha
 _MAYBE_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u19e0-\u19ff\u2e80-\U0010ffff]")
 #: All but letters, digits and white space; a mark is no letter.
 _OTHER = re.compile(r"[^\w\s]|_")
+#: The same for bytes below 128, and white space but line ends: all become spaces, in one step for a text. Longer bytes stay as they are.
+_BYTES = bytes(b if b >= 128 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
 
 
 def normalised(text: str) -> list[str]:
     """The lines of a text in compared form: words with single spaces between them."""
-    lower = text.lower()
-    if not lower.isascii() and _MAYBE_UNSPACED.search(lower):
-        lower = _UNSPACED.sub(r" \g<0> ", lower)
-    return [" ".join(line.split()) for line in _OTHER.sub(" ", lower).split("\n")]
+    lower = text.lower().encode("utf-8", "surrogatepass").translate(_BYTES).decode("utf-8", "surrogatepass")
+    if not lower.isascii():
+        if _MAYBE_UNSPACED.search(lower):
+            lower = _UNSPACED.sub(r" \g<0> ", lower)
+        lower = _OTHER.sub(" ", lower)
+    return [" ".join(line.split()) for line in lower.split("\n")]
 
 
 def line_table(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -158,10 +168,12 @@ def _pieces(batches: Iterator[pa.RecordBatch], sampled: bool) -> Iterator[tuple[
             drawn[many >= (SAMPLED if k == 0 else int(1.6 * SAMPLED) << (k - 1))] = (2 << k) - 1
         runs = words.whole(3)
         at = np.flatnonzero(runs & (many[: len(runs)] >= 8) & (h[: len(runs)] & drawn[: len(runs)] == 0))
-        parts.append(_joined(h[at[:, None] + np.arange(3)], 3))
+        parts.append(_joined(np.lib.stride_tricks.sliding_window_view(h, 3), 3)[at] if len(runs) else h[:0])
         lines.append(words.text[at])
-        # A slice has fewer than 2 ** 24 lines; line and piece fit one number.
-        both = np.unique(np.concatenate(lines).astype(np.uint64) << np.uint64(PART_BITS) | np.concatenate(parts) >> np.uint64(64 - PART_BITS))
+        # A slice has fewer than 2 ** 24 lines; line and piece fit one number. Sorted in place: np.unique hashes, which takes many times as long.
+        both = np.concatenate(lines).astype(np.uint64) << np.uint64(PART_BITS) | np.concatenate(parts) >> np.uint64(64 - PART_BITS)
+        both.sort()
+        both = both[np.append(True, both[1:] != both[:-1])[: len(both)]]
         yield keys, n, (both >> np.uint64(PART_BITS)).astype(np.int64), (both & np.uint64((1 << PART_BITS) - 1)).view(np.int64)
 
 
@@ -176,26 +188,61 @@ def _blocks(distinct: DataFrame, sampled: bool) -> DataFrame:
 
 
 def _piece_counts(distinct: DataFrame, sampled: bool) -> DataFrame:
-    """(part, many): the pieces of more than one line, counted a share at a time."""
-    shares = []
-    for share in range(PASSES):
+    """(bucket, bits, levels): which pieces are of more than one line, and of how many, for each bucket of their hashes.
 
-        def rows(batches: Iterator[pa.RecordBatch], share: int = share) -> Iterator[pa.RecordBatch]:
-            for _, _, _, part in _pieces(batches, sampled):
-                yield pa.RecordBatch.from_arrays([pa.array(part[part % PASSES == share])], ["part"])
+    Pieces travel as sorted numbers of 4 bytes, all of a bucket in one row, so that neither end of the shuffle sees a row a
+    piece; a bucket is counted by sorting it. Its rows have a fixed size: a bit, and the most lines by their logarithm, for each place.
+    """
+    low = PART_BITS - BUCKET_BITS
 
-        shares.append(_counted(distinct.select("k", "norm").mapInArrow(rows, "part long"), "line-pieces"))
-    return reduce(DataFrame.unionByName, shares)
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
 
+        def rows() -> pa.RecordBatch:
+            part = np.concatenate(held)
+            part.sort()
+            begin = np.searchsorted(part, np.arange((1 << BUCKET_BITS) + 1) << low)
+            used = np.flatnonzero(np.diff(begin))
+            data = (part & ((1 << low) - 1)).astype("<u4")
+            offsets = (4 * np.append(begin[used], len(part))).astype(np.int32)
+            blobs = pa.BinaryArray.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+            return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), blobs], ["bucket", "pieces"])
+
+        for _, _, _, part in _pieces(batches, sampled):
+            held.append(part)
+            size += len(part)
+            if size > HELD:
+                yield rows()
+                held, size = [], 0
+        if size:
+            yield rows()
 
-def _bitmap(counts: DataFrame) -> np.ndarray:
-    """Which bits the pieces set, as packed bytes; a row of 4 kB for each 32,768 bits reaches the driver."""
-    bits = counts.select(F.shiftright("part", PART_BITS + 1 - FILTER_BITS.bit_length()).alias("bit")).withColumn("slice", F.shiftright("bit", 15))
-    rows = bits.groupBy("slice").agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(F.lit(32767))).alias("bits"))
-    out = np.zeros((FILTER_BITS >> 15, 4096), np.uint8)
-    for row in rows.toLocalIterator():
-        out[row["slice"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
-    return out.ravel()
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (bucket,), table in grouped(batches, ["bucket"]):
+            part = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table.column("pieces")])
+            part.sort()
+            first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            many = np.diff(np.append(first, len(part)))
+            part, many = part[first[many > 1]], many[many > 1]
+            bits = np.zeros(FILTER_BITS >> BUCKET_BITS, bool)
+            bits[part >> np.uint32(PART_BITS + 1 - FILTER_BITS.bit_length())] = True
+            levels = np.zeros(LEVELS >> BUCKET_BITS, np.uint8)
+            np.maximum.at(levels, part >> np.uint32(PART_BITS + 1 - LEVELS.bit_length()), np.minimum(255, 8 * np.log2(many)).astype(np.uint8))
+            data = [np.packbits(bits, bitorder="little").tobytes(), levels.tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *[pa.array([x], pa.binary()) for x in data]], ["bucket", "bits", "levels"])
+
+    pieces = distinct.select("k", "norm").mapInArrow(dealt, "bucket int, pieces binary")
+    return settle(pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(counted, "bucket int, bits binary, levels binary"), "line-pieces")
+
+
+def _filters(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Which bits the pieces set, as packed bytes, and the levels of their places; a row for each bucket reaches the driver."""
+    bits, levels = np.zeros((1 << BUCKET_BITS, FILTER_BITS >> BUCKET_BITS + 3), np.uint8), np.zeros((1 << BUCKET_BITS, LEVELS >> BUCKET_BITS), np.uint8)
+    for row in counts.toLocalIterator():
+        bits[row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
+        levels[row["bucket"]] = np.frombuffer(row["levels"], np.uint8)
+    return bits.ravel(), levels.ravel()
 
 
 def _lost_runs(words: np.ndarray) -> np.ndarray:
@@ -207,24 +254,31 @@ def _lost_runs(words: np.ndarray) -> np.ndarray:
 
 
 def _shared(distinct: DataFrame, counts: DataFrame, sampled: bool) -> DataFrame:
-    """(part, k): the least frequent shared pieces of each line that can have a partner, as many as it takes to lose none."""
-    sent = distinct.sparkSession.sparkContext.broadcast(_bitmap(counts))
+    """(part, k): the least frequent shared pieces of each line that can have a partner, as many as it takes to lose none.
+
+    Frequencies are those of the pieces' places, the same for all lines, which is what the order needs. A piece that only seems to
+    be shared takes a place too many, and goes when blocks are counted.
+    """
+    sent = distinct.sparkSession.sparkContext.broadcast(_filters(counts))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, levels = sent.value
         for keys, n, line, part in _pieces(batches, sampled):
             bit = part >> (PART_BITS + 1 - FILTER_BITS.bit_length())
-            may = (sent.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+            may = (bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
             # What may be unshared beyond the pieces of now; of short lines and samples any one piece is enough.
             spare = np.where((n < 10) | sampled, 1 << 30, _lost_runs(n) - np.bincount(line, minlength=len(keys)))
-            take = may & (np.bincount(line[may], minlength=len(keys)) + spare >= 0)[line]
-            yield pa.RecordBatch.from_arrays([pa.array(part[take]), pa.array(keys[line[take]]), pa.array(spare[line[take]].astype(np.int32))], ["part", "k", "spare"])
-
-    pieces = distinct.select("k", "norm").mapInArrow(rows, "part long, k long, spare int")
-    whole = pieces = settle(split_join(pieces, counts, ["part"], "inner").select("part", "k", "spare", "many"), "line-shared")
-    of_line = Window.partitionBy("k")
-    pieces = pieces.withColumn("all", F.count("*").over(of_line)).withColumn("rank", F.row_number().over(of_line.orderBy("many", "part")))
-    rare = settle(pieces.filter(F.col("rank") <= F.col("all") + F.col("spare") + 1).select("part", "k"), "line-prefix")
-    discard(whole)
+            room = np.bincount(line[may], minlength=len(keys)) + spare + 1
+            may &= (room > 0)[line]
+            line, part = line[may], part[may]
+            # By line and level, then by piece, in which order they come.
+            order = np.argsort(line.astype(np.uint32) << np.uint32(8) | levels[part >> (PART_BITS + 1 - LEVELS.bit_length())], kind="stable")
+            of_line = np.bincount(line, minlength=len(keys))
+            rank = np.arange(len(line)) - (np.cumsum(of_line) - of_line)[line]
+            take = order[rank < room[line]]
+            yield pa.RecordBatch.from_arrays([pa.array(part[take]), pa.array(keys[line[take]])], ["part", "k"])
+
+    rare = settle(distinct.select("k", "norm").mapInArrow(rows, "part long, k long"), "line-prefix")
     sent.destroy()
     return rare
 
@@ -364,6 +418,53 @@ def _sketched(keys: DataFrame, distinct: DataFrame) -> DataFrame:
     return _some(distinct.select("k", "norm"), keys).mapInArrow(sketch, "k long, n int, sim long, firm long, " + "".join(f"{c} long, " for c in _ODD) + "letters string")
 
 
+def _met(near: DataFrame) -> DataFrame:
+    """(a, b, star): the pairs of lines of blocks of ``HOT`` at most that pass the test of :func:`_near`, each once.
+
+    ``star`` has those of a block's least line. Rows of a block stand together: each is held against the next one, the one after that, and so on.
+    """
+
+    def found(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        part, k, n, sim, firm, *odd = rows
+        edge = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        size = np.diff(np.append(edge, len(part)))
+        begin, end = np.repeat(edge, size), np.repeat(edge + size, size)
+        i, step = np.arange(len(part)), 0
+        pairs = []
+        while len(i):
+            step += 1
+            i = i[end[i] > i + step]
+            x, y = i, i + step
+            for test in (True, False):
+                most = np.floor(np.maximum(n[x], n[y]) * (1 - SIMILARITY) + 1e-9).astype(np.int64)
+                apart = np.abs(n[x] - n[y])
+                if test:
+                    ok = (apart <= most) & ((sim[x] ^ sim[y]) & (firm[x] | firm[y]) == 0)
+                else:
+                    ok = sum(np.bitwise_count(c[x] ^ c[y]).astype(np.int64) for c in odd) <= 2 * most - apart
+                x, y = x[ok], y[ok]
+            pairs.append((x, y))
+        x, y = (np.concatenate(c) for c in zip(*pairs))
+        yield pa.RecordBatch.from_arrays([pa.array(k[x]), pa.array(k[y]), pa.array(x == begin[x])], ["a", "b", "star"])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            if batch.num_rows:
+                some = [c.to_numpy() for c in batch.columns]
+                some[3:] = [c.view(np.uint64) for c in some[3:]]
+                held = [np.concatenate(x) for x in zip(held, some)] if held else some
+                last = int(np.searchsorted(held[0], held[0][-1]))
+                if last:
+                    yield from found([c[:last] for c in held])
+                    held = [c[last:] for c in held]
+        if held:
+            yield from found(held)
+
+    near = near.select("part", "k", "n", "sim", "firm", *_ODD).repartition("part").sortWithinPartitions("part", "k")
+    return near.mapInArrow(rows, "a long, b long, star boolean").groupBy("a", "b").agg(F.max("star").alias("star"))
+
+
 def fuzzy_links(distinct: DataFrame, sampled: bool = False) -> DataFrame:
     """(node, component) of the distinct lines that link with another one."""
     pieces = _piece_counts(distinct, sampled)
@@ -371,21 +472,52 @@ def fuzzy_links(distinct: DataFrame, sampled: bool = False) -> DataFrame:
     discard(pieces)
     counts = _distinct_blocks(rare, "line-blocks")
     shared = settle(split_join(rare, counts, ["part"], "inner").select("part", "k", "many"), "line-meeting")
-    discard(rare)
+    discard(rare, counts)
     rows = shared.filter(F.col("many") <= HOT)
     hot = shared.filter(F.col("many") > HOT)
-    if (hot := None if hot.isEmpty() else hot) is not None:
+    large = None
+    if spread := not hot.isEmpty():
         refined = settle(_refined(hot.select("part", "k"), distinct), "line-refined")
-        rows = rows.unionByName(split_join(refined, _distinct_blocks(refined, "line-refined-blocks"), ["part"], "inner").select("part", "k", "many"))
-    rows = _ranked(rows)
+        counts = _distinct_blocks(refined, "line-refined-blocks")
+        whole, refined = refined, settle(split_join(refined, counts, ["part"], "inner").select("part", "k", "many"), "line-refined-meeting")
+        discard(whole, counts)
+        rows = rows.unionByName(refined.filter(F.col("many") <= HOT))
+        large = refined.filter(F.col("many") > HOT)
+        large = None if large.isEmpty() else large
     sketch = ["n", "sim", "firm", *_ODD]
-    sketches = settle(_sketched(rows, distinct), "line-sketches")
-    near = settle(split_join(rows, sketches.drop("letters"), ["k"], "inner").select("part", "k", "before", *sketch), "line-near")
-    discard(counts, shared, rows, *([refined] if hot is not None else []))
-    least = near.groupBy("part").agg(F.min("k").alias("k_"), *[F.min_by(c, "k").alias(c + "_") for c in sketch])
-    stars = split_join(near, least, ["part"], "inner").filter((F.col("k") != F.col("k_")) & _near())
-    links = settle(_verified(stars.select(F.col("k_").alias("a"), F.col("k").alias("b")).distinct(), sketches), "line-stars")
-    first = components(links).withColumnRenamed("node", "k")
+    sketches = settle(_sketched(rows if large is None else rows.unionByName(large), distinct), "line-sketches")
+    met = settle(_met(split_join(rows, sketches.drop("letters"), ["k"], "inner")), "line-met")
+    pairs = met.filter("star").select("a", "b")
+    if large is not None:
+        near = split_join(_ranked(large), sketches.drop("letters"), ["k"], "inner")
+        near = settle(near.select("part", "k", "before", *sketch), "line-near")
+        least = near.groupBy("part").agg(F.min("k").alias("k_"), *[F.min_by(c, "k").alias(c + "_") for c in sketch])
+        stars = split_join(near, least, ["part"], "inner").filter((F.col("k") != F.col("k_")) & _near())
+        pairs = pairs.union(stars.select(F.col("k_").alias("a"), F.col("k").alias("b"))).distinct()
+    discard(shared, *([refined] if spread else []))
+    links = settle(_verified(pairs, sketches), "line-stars")
+    first = settle(components(links), "line-first").withColumnRenamed("node", "k")
+    rest = _apart(met.filter("NOT star").select("a", "b"), first).select("a", "b")
+    if large is not None:
+        more, pairs = _large(near, first, sketches)
+        links = links.union(more)
+        rest = rest.union(pairs).distinct()
+    groups = components(links.union(settle(_verified(rest, sketches), "line-rest")))
+    discard(sketches, met, links)
+    return groups
+
+
+def _apart(pairs: DataFrame, first: DataFrame) -> DataFrame:
+    """(a, b, ca, cb): the pairs with the groups of both ends, unless these are the same. A line without a group is its own."""
+    group = first.select(F.col("k").alias("a"), F.col("component").alias("ca"))
+    ends = split_join(pairs, group, ["a"]).withColumn("ca", F.coalesce("ca", "a"))
+    ends = split_join(ends, group.toDF("b", "cb"), ["b"]).withColumn("cb", F.coalesce("cb", "b"))
+    return ends.filter("ca <> cb")
+
+
+def _large(near: DataFrame, first: DataFrame, sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of blocks of more than ``HOT`` lines, whose least lines' links are in ``first``: more links, and the pairs that are left to be verified."""
+    more = None
     ungrouped, near = near, split_join(near, first, ["k"]).withColumn("c", F.coalesce("component", "k")).drop("component")
     near = settle(near, "line-groups")
     discard(ungrouped)
@@ -394,16 +526,16 @@ def fuzzy_links(distinct: DataFrame, sampled: bool = False) -> DataFrame:
     for _ in range(PIVOTS):
         if apart.isEmpty():
             break
-        near, apart, more = _pivoted(near, apart, first, sketches)
-        links = links.union(more)
+        near, apart, found = _pivoted(near, apart, first, sketches)
+        more = found if more is None else more.union(found)
     mixed = near.join(apart.select("part").distinct(), "part", "left_semi")
     right = mixed.select(*[F.col(c).alias(c + "_") for c in near.columns])
     # Lines that are also in one block before this one meet there, or before that.
     met = (F.col("part") == F.col("part_")) & (F.col("c") != F.col("c_")) & ~F.arrays_overlap("before", "before_") & _near()
     pairs = apart.join(right, met).select(F.least("k", "k_").alias("a"), F.greatest("k", "k_").alias("b")).distinct()
-    groups = components(links.union(settle(_verified(pairs, sketches), "line-rest")))
-    discard(sketches, near, apart, links)
-    return groups
+    pairs = settle(pairs, "line-mixed")
+    discard(near, apart)
+    return pairs.limit(0) if more is None else more, pairs
 
 
 def _pivoted(near: DataFrame, apart: DataFrame, first: DataFrame, sketches: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -417,10 +549,7 @@ def _pivoted(near: DataFrame, apart: DataFrame, first: DataFrame, sketches: Data
     tried = split_join(near, pivot, ["part"], "inner").filter((F.col("c") != F.col("c_")) & _near())
     tried = tried.select(F.least("k", "k_").alias("a"), F.greatest("k", "k_").alias("b")).distinct()
     more = settle(_verified(tried, sketches), "line-more")
-    group = first.select(F.col("k").alias("a"), F.col("component").alias("ca"))
-    ends = split_join(more, group, ["a"]).withColumn("ca", F.coalesce("ca", "a"))
-    ends = split_join(ends, group.toDF("b", "cb"), ["b"]).withColumn("cb", F.coalesce("cb", "b"))
-    moves = settle(components(ends.select("ca", "cb")), "line-moves")
+    moves = settle(components(_apart(more, first).select("ca", "cb")), "line-moves")
 
     def moved(rows: DataFrame, column: str) -> DataFrame:
         return split_join(rows, moves.toDF(column, "to"), [column]).withColumn(column, F.coalesce("to", column)).drop("to")
