@@ -12,14 +12,18 @@ Text keys are compared in :func:`~feedmill.functions.text.match_form`.
 Plans. The core is left-joined to the stage for the updates, and the stage is
 anti-joined to the core's distinct keys for the inserts. A stage below the
 broadcast threshold is broadcast by Catalyst and the core is not shuffled. A
-larger one costs a shuffle of the core and one of its distinct keys; a single full
-outer join would save the latter, but adaptive execution cannot split a hot key
-in it, and it can on the left of these joins.
+larger one costs a shuffle of the core and one of its distinct keys; both joins
+ask for the same shuffle of the stage, as one column and by the same expressions,
+so Spark does it once unless the optimizer wrote the stage's plan in two ways, and
+compared keys are not shuffled beside the rows they come from. A
+single full outer join would save the core's keys, but adaptive execution cannot
+split a hot key in it, and it can on the left of these joins.
 
 Hot keys. A repeated core key sits on the left of the update join and enters the
-insert join once. A repeated stage key enters the joins as one marker row, found
-by a map-side combined count; its copies are appended without a join by key. Rows
-with a NULL key enter no join.
+insert join once. Whether stage keys are repeated is asked at once, by a count of
+their hashes. If some are, a Bloom filter of these finds the few rows of both
+sides that are looked at by key: a repeated key enters that join as one marker
+row, and its copies are appended. Rows with a NULL key match nothing.
 """
 
 from __future__ import annotations
@@ -38,7 +42,11 @@ from feedmill.operators.keyfilter import key_filter, might_hold
 
 _REPEATED = "_repeated"
 _SPLIT = "_split"
-_IN_STAGE = "_in_stage"
+_ROW = "_row"
+_HASH = "_hash"
+_KEY = "_key"
+#: Repeated stage keys that the filter of them is made for (128 kB); more let more rows be looked at by key.
+REPEATS = 1 << 16
 
 
 def _key_names(keys: Sequence[str]) -> list[str]:
@@ -87,6 +95,11 @@ def repeated_keys(stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _repeated_hashes(stage: DataFrame, hashed: Column) -> DataFrame:
+    """Hashes of keys that occur more than once, and by chance one of two other keys; of the stage only hashes are shuffled."""
+    return stage.groupBy(hashed.alias("h")).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("h")
+
+
 def multi_match(core: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of core rows that several stage rows would update."""
     names = _key_names(keys)
@@ -159,63 +172,72 @@ def merge_upsert(
     data = [c for c in columns if c not in audit]
     names = _key_names(keys)
     nullable = keys if nullable_keys is None else [k for k in keys if k in set(nullable_keys)]
+    text = {f.name for f in core.schema if isinstance(f.dataType, T.StringType)}
 
     def inserted(rows: DataFrame) -> DataFrame:
         return fresh_rows(rows, columns, load_ts, audit)
 
+    def compared(cell) -> list[Column]:
+        return [match_form(cell(k)) if k in text else cell(k) for k in keys]
+
+    def hashed(cell) -> Column:
+        """No value where a key is NULL; Catalyst infers no filter from it, which would part the two uses of the stage."""
+        whole = reduce(lambda a, b: a & b, [cell(k).isNotNull() for k in keys])
+        return F.when(whole, F.xxhash64(*compared(cell)))
+
+    def same_key(cell, other) -> Column:
+        return (hashed(cell) == hashed(other)) & (F.struct(*compared(cell)) == F.struct(*compared(other)))
+
     stage = stage.select(*[F.col(c).cast(core.schema[c].dataType).alias(c) for c in data])
-    left = with_match_keys(core, keys)
-    right = with_match_keys(stage, keys)
     parts: list[DataFrame] = []
 
     if nullable:
         if insert:
-            parts.append(inserted(right.filter(~_complete(nullable))))
-        right = right.filter(_complete(nullable))
-
-    if unique_stage:
-        single = right
-        side = right.withColumn(_REPEATED, F.lit(False))
-    else:
-        repeats = repeated_keys(stage, keys).select(*names)
-        flagged = split_join(right, repeats.withColumn(_REPEATED, F.lit(True)), names, "left")
+            parts.append(inserted(stage.filter(~_complete(nullable))))
+        stage = stage.filter(_complete(nullable))
+        parts.append(core.filter(~_complete(nullable)))
+        core = core.filter(_complete(nullable))
+
+    single, checked = stage, core
+    h = F.xxhash64(*compared(F.col))
+    if not unique_stage and not (again := _repeated_hashes(stage.filter(_complete(keys)), h)).isEmpty():
+        may = might_hold(key_filter(again, REPEATS), REPEATS, h)
+        some = stage.filter(may)
+        repeats = repeated_keys(some, keys).select(*names).withColumn(_REPEATED, F.lit(True))
+        flagged = split_join(with_match_keys(some, keys), repeats, names, "left")
         if insert:
             parts.append(inserted(flagged.filter(F.col(_REPEATED).isNotNull())))
-        single = flagged.filter(F.col(_REPEATED).isNull()).drop(_REPEATED)
-        side = single.withColumn(_REPEATED, F.lit(False)).unionByName(
-            repeats.withColumn(_REPEATED, F.lit(True)), allowMissingColumns=True
+        single = stage.filter(~may).unionByName(flagged.filter(F.col(_REPEATED).isNull()).select(*data))
+        fault = F.raise_error(
+            F.concat(F.lit("several stage rows match one core row: "), F.concat_ws("|", *names))
         )
-    side = side.select(
-        *names,
-        _REPEATED,
-        F.lit(True).alias(_IN_STAGE),
-        *[F.col(c).alias(f"_s_{c}") for c in data if c in set(updates)],
-    )
+        hit = split_join(with_match_keys(core.filter(may), keys), repeats, names, "left")
+        hit = hit.filter(F.when(F.coalesce(F.col(_REPEATED), F.lit(False)), fault.cast("boolean")).otherwise(True))
+        checked = core.filter(~may).unionByName(hit.select(*columns))
 
-    if nullable:
-        parts.append(left.filter(~_complete(nullable)).select(*columns))
-        left = left.filter(_complete(nullable))
+    # One column, so that both joins take the same columns of the stage and Spark can shuffle it once for them.
+    packed = single.select(F.struct(*data).alias(_ROW))
+
+    def staged(k: str) -> Column:
+        return F.col(_ROW)[k]
 
     if insert:
-        present = left.select(*names).distinct()
-        parts.append(inserted(single.join(present, names, "left_anti")))
+        present = core.filter(_complete(keys)).select(h.alias(_HASH), F.struct(*compared(F.col)).alias(_KEY)).distinct()
+        new = packed.join(
+            present, (hashed(staged) == F.col(_HASH)) & (F.struct(*compared(staged)) == F.col(_KEY)), "left_anti"
+        )
+        parts.append(inserted(new.select(f"{_ROW}.*")))
 
     changed = set(updates)
-    hit = F.col(_IN_STAGE).isNotNull()
+    hit = F.col(_ROW).isNotNull()
 
     def merged(c: str) -> Column:
         if c == updated:
             return F.when(hit, stamp).otherwise(F.col(c)).alias(c)
         if c in changed:
-            return F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
+            return F.when(hit, staged(c)).otherwise(F.col(c)).alias(c)
         return F.col(c)
 
-    joined = split_join(left, side, names, "left")
-    if not unique_stage:
-        fault = F.raise_error(
-            F.concat(F.lit("several stage rows match one core row: "), F.concat_ws("|", *names))
-        )
-        repeated = F.coalesce(F.col(_REPEATED), F.lit(False))
-        joined = joined.filter(F.when(repeated, fault.cast("boolean")).otherwise(True))
+    joined = checked.join(packed, same_key(F.col, staged), "left")
     parts.append(joined.select(*[merged(c) for c in columns]))
     return reduce(DataFrame.unionByName, parts)

@@ -155,3 +155,25 @@ def test_hot_core_key_is_split_over_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_stage_is_shuffled_once(spark):
+    """Updates and inserts take the stage from one shuffle, and its keys are not shuffled beside it."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    old = "'2023-01-01 00:00:00'"
+    try:
+        core = spark.range(3000).selectExpr("CASE WHEN id >= 0 THEN concat('K', id, ' ') END AS k", "cast(id AS string) AS v", f"{old} AS Create_Dttm", f"{old} AS Last_Update_Dttm")
+        stage = spark.range(2000, 6002).selectExpr("CASE WHEN id < 6000 THEN concat('k', id) END AS k", "concat('n', id) AS v")
+        out = merge_upsert(core, stage, keys=["k"], updates=["v"], load_ts="2024-06-01 00:00:00", nullable_keys=())
+        got = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The stage, the core and the core's keys.
+    assert sum("- Exchange hashpartitioning" in x for x in plan.split("\n")) <= 3 and "ReusedExchange" in plan
+    assert len(got) == 6002 and sum(r["k"] is None for r in got) == 2
+    rows = {r["k"].strip().lower(): (r["k"], r["v"]) for r in got if r["k"]}
+    assert len(rows) == 6000
+    for i in range(6000):
+        assert rows[f"k{i}"] == (f"K{i} " if i < 3000 else f"k{i}", str(i) if i < 2000 else f"n{i}")
