@@ -19,7 +19,7 @@ edits can change beside the unshared ones (prefix filtering: the least frequent
 have in common is among these of both).
 
 Frequent blocks. Blocks are counted again, and those of one line go; of blocks that hold the same lines (long lines that
-are alike share many runs) one stays. A block of more than ``HOT`` lines is refined: of the
+are alike share many runs) one stays. A block of more than ``PAIRED`` lines is refined: of the
 lines that have such blocks the words are counted too, and the block is joined with each of a line's rarest words, as many
 as the edits allow and one more (prefix filtering: two lines within the distance share one of these; a word that no other
 such line has lowers the number, and a line with more of them than edits allowed has no partner). So a phrase that many
@@ -27,9 +27,9 @@ lines share never makes pairs by itself.
 
 Lines that meet are compared by a 64-bit SimHash of their words, in the bits that no number of edits allowed can turn, by a
 parity of words in ``PARITY`` numbers of 64 bits, which each edit changes in two bits at most, and then by edit distance, with a letter for each word (2 ** 20
-letters, by hash). In a block of ``HOT`` lines at most all pairs are tested so in numpy, and those that pass are measured: first those
-of the least line, and after these links are contracted those that lead from one group to another. In a larger block all lines are
-first held against the least; after those links are contracted, the least of the lines
+letters, by hash). In a block of ``PAIRED`` lines at most the tests are done in numpy. The pairs of the least line, of the least one that
+is not near it, and so on are measured first; after these links are contracted, those that lead from one group to another. A larger
+block is worked by joins: all lines are first held against the least; after those links are contracted, the least of the lines
 outside its group is held against the others and leaves the block, ``PIVOTS`` times, each time with what links contracted. What is then
 still outside is held against the others, unless the two are known to share a larger block too. Of each connected group the first occurrence stays, in the order
 of doc_id (null last) and line.
@@ -79,8 +79,10 @@ FILTER_BITS = 1 << 27
 PART_BITS = 40
 #: Words from which on a line gives a part of its runs only, if sampled.
 SAMPLED = 20
-#: Lines of a block from which on it is refined by words.
+#: Lines of a block up to which all its pairs that may be alike are noted at once, before any are linked.
 HOT = 64
+#: Lines of a block up to which its pairs are tested one by one, in numpy; a larger one is refined by words.
+PAIRED = 1024
 #: Counters of the words of lines in frequent blocks; a fixed-size array that every task gets.
 COUNTERS = 1 << 18
 #: Numbers of 64 bits of a line's parity. One alone says nothing on lines of some 80 words, whose edits may turn all of its bits.
@@ -418,53 +420,108 @@ def _sketched(keys: DataFrame, distinct: DataFrame) -> DataFrame:
     return _some(distinct.select("k", "norm"), keys).mapInArrow(sketch, "k long, n int, sim long, firm long, " + "".join(f"{c} long, " for c in _ODD) + "letters string")
 
 
+def _tested(x: np.ndarray, y: np.ndarray, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of places x and y that pass the test of :func:`_near`."""
+    n, sim, firm, *odd = rows
+    for cheap in (True, False):
+        most = np.floor(np.maximum(n[x], n[y]) * (1 - SIMILARITY) + 1e-9).astype(np.int64)
+        apart = np.abs(n[x] - n[y])
+        if cheap:
+            ok = (apart <= most) & ((sim[x] ^ sim[y]) & (firm[x] | firm[y]) == 0)
+        else:
+            ok = sum(np.bitwise_count(c[x] ^ c[y]).astype(np.int64) for c in odd) <= 2 * most - apart
+        x, y = x[ok], y[ok]
+    return x, y
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch], sketches: int) -> Iterator[list[np.ndarray]]:
+    """Columns of rows that are sorted by their first column, cut where it changes; the last ``sketches`` are of bits."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        if batch.num_rows:
+            some = [c.to_numpy() for c in batch.columns]
+            some[-sketches:] = [c.view(np.uint64) for c in some[-sketches:]]
+            held = [np.concatenate(x) for x in zip(held, some)] if held else some
+            last = int(np.searchsorted(held[0], held[0][-1]))
+            if last:
+                yield [c[:last] for c in held]
+                held = [c[last:] for c in held]
+    if held:
+        yield held
+
+
+def _ends(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the block of each row begins and ends."""
+    edge = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    size = np.diff(np.append(edge, len(part)))
+    return np.repeat(edge, size), np.repeat(edge + size, size)
+
+
 def _met(near: DataFrame) -> DataFrame:
-    """(a, b, star): the pairs of lines of blocks of ``HOT`` at most that pass the test of :func:`_near`, each once.
+    """(a, b, star): pairs of lines of a block that pass the test of :func:`_near`, each once.
 
-    ``star`` has those of a block's least line. Rows of a block stand together: each is held against the next one, the one after that, and so on.
+    ``star`` has those of a block's least line, of the least line that is not near that one, and so on, so that each line is in one
+    of them if any. The others come from blocks of ``HOT`` lines at most. Rows of a block stand together: each is held against the next
+    one, the one after that, and so on.
     """
 
-    def found(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        part, k, n, sim, firm, *odd = rows
-        edge = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-        size = np.diff(np.append(edge, len(part)))
-        begin, end = np.repeat(edge, size), np.repeat(edge + size, size)
-        i, step = np.arange(len(part)), 0
+    def found(part: np.ndarray, k: np.ndarray, *rows: np.ndarray) -> pa.RecordBatch:
+        begin, end = _ends(part)
         pairs = []
+        i, step = np.flatnonzero(end - begin <= HOT), 0
         while len(i):
             step += 1
             i = i[end[i] > i + step]
-            x, y = i, i + step
-            for test in (True, False):
-                most = np.floor(np.maximum(n[x], n[y]) * (1 - SIMILARITY) + 1e-9).astype(np.int64)
-                apart = np.abs(n[x] - n[y])
-                if test:
-                    ok = (apart <= most) & ((sim[x] ^ sim[y]) & (firm[x] | firm[y]) == 0)
-                else:
-                    ok = sum(np.bitwise_count(c[x] ^ c[y]).astype(np.int64) for c in odd) <= 2 * most - apart
-                x, y = x[ok], y[ok]
-            pairs.append((x, y))
-        x, y = (np.concatenate(c) for c in zip(*pairs))
-        yield pa.RecordBatch.from_arrays([pa.array(k[x]), pa.array(k[y]), pa.array(x == begin[x])], ["a", "b", "star"])
+            pairs.append(_tested(i, i + step, rows))
+        stars = []
+        i = np.arange(len(part))
+        while len(i):
+            # The least of the lines that are left in each block leads.
+            new = np.append(True, part[i[1:]] != part[i[:-1]])
+            lead = np.repeat(i[new], np.diff(np.append(np.flatnonzero(new), len(i))))
+            i, lead = i[~new], lead[~new]
+            x, y = _tested(lead, i, rows)
+            stars.append((x, y))
+            i = i[~np.isin(i, y, assume_unique=True)]
+        x, y = (np.concatenate(c) for c in zip(*stars, *pairs))
+        star = np.arange(len(x)) < sum(len(c) for c, _ in stars)
+        return pa.RecordBatch.from_arrays([pa.array(k[x]), pa.array(k[y]), pa.array(star)], ["a", "b", "star"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for batch in batches:
-            if batch.num_rows:
-                some = [c.to_numpy() for c in batch.columns]
-                some[3:] = [c.view(np.uint64) for c in some[3:]]
-                held = [np.concatenate(x) for x in zip(held, some)] if held else some
-                last = int(np.searchsorted(held[0], held[0][-1]))
-                if last:
-                    yield from found([c[:last] for c in held])
-                    held = [c[last:] for c in held]
-        if held:
-            yield from found(held)
+        for columns in _whole_blocks(batches, 2 + PARITY):
+            yield found(*columns)
 
     near = near.select("part", "k", "n", "sim", "firm", *_ODD).repartition("part").sortWithinPartitions("part", "k")
     return near.mapInArrow(rows, "a long, b long, star boolean").groupBy("a", "b").agg(F.max("star").alias("star"))
 
 
+def _met_apart(near: DataFrame) -> DataFrame:
+    """(a, b): the pairs of lines of a block that are in other groups ``c`` and pass the test of :func:`_near`, each once."""
+
+    def found(part: np.ndarray, k: np.ndarray, c: np.ndarray, *rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        begin, end = _ends(part)
+        out = np.flatnonzero(c != c[begin])
+        # A line outside the group of the block's least line, against all; places of some lines at a time, bounded by their number.
+        size = end[out] - begin[out]
+        done = 0
+        while done < len(out):
+            upto = max(done + 1, int(np.searchsorted(np.cumsum(size[done:]), PIECE, "right")) + done)
+            some, many = out[done:upto], size[done:upto]
+            x = np.repeat(some, many)
+            y = np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many) + begin[x]
+            other = c[x] != c[y]
+            x, y = _tested(x[other], y[other], rows)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(k[x], k[y])), pa.array(np.maximum(k[x], k[y]))], ["a", "b"])
+            done = upto
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in _whole_blocks(batches, 2 + PARITY):
+            yield from found(*columns)
+
+    near = near.select("part", "k", "c", "n", "sim", "firm", *_ODD).repartition("part").sortWithinPartitions("part", "k")
+    return near.mapInArrow(rows, "a long, b long").distinct()
+
+
 def fuzzy_links(distinct: DataFrame, sampled: bool = False) -> DataFrame:
     """(node, component) of the distinct lines that link with another one."""
     pieces = _piece_counts(distinct, sampled)
@@ -473,16 +530,16 @@ def fuzzy_links(distinct: DataFrame, sampled: bool = False) -> DataFrame:
     counts = _distinct_blocks(rare, "line-blocks")
     shared = settle(split_join(rare, counts, ["part"], "inner").select("part", "k", "many"), "line-meeting")
     discard(rare, counts)
-    rows = shared.filter(F.col("many") <= HOT)
-    hot = shared.filter(F.col("many") > HOT)
+    rows = shared.filter(F.col("many") <= PAIRED)
+    hot = shared.filter(F.col("many") > PAIRED)
     large = None
     if spread := not hot.isEmpty():
         refined = settle(_refined(hot.select("part", "k"), distinct), "line-refined")
         counts = _distinct_blocks(refined, "line-refined-blocks")
         whole, refined = refined, settle(split_join(refined, counts, ["part"], "inner").select("part", "k", "many"), "line-refined-meeting")
         discard(whole, counts)
-        rows = rows.unionByName(refined.filter(F.col("many") <= HOT))
-        large = refined.filter(F.col("many") > HOT)
+        rows = rows.unionByName(refined.filter(F.col("many") <= PAIRED))
+        large = refined.filter(F.col("many") > PAIRED)
         large = None if large.isEmpty() else large
     sketch = ["n", "sim", "firm", *_ODD]
     sketches = settle(_sketched(rows if large is None else rows.unionByName(large), distinct), "line-sketches")
@@ -494,16 +551,18 @@ def fuzzy_links(distinct: DataFrame, sampled: bool = False) -> DataFrame:
         least = near.groupBy("part").agg(F.min("k").alias("k_"), *[F.min_by(c, "k").alias(c + "_") for c in sketch])
         stars = split_join(near, least, ["part"], "inner").filter((F.col("k") != F.col("k_")) & _near())
         pairs = pairs.union(stars.select(F.col("k_").alias("a"), F.col("k").alias("b"))).distinct()
-    discard(shared, *([refined] if spread else []))
     links = settle(_verified(pairs, sketches), "line-stars")
     first = settle(components(links), "line-first").withColumnRenamed("node", "k")
     rest = _apart(met.filter("NOT star").select("a", "b"), first).select("a", "b")
+    grouped_rows = split_join(rows.filter(F.col("many") > HOT), sketches.drop("letters"), ["k"], "inner")
+    grouped_rows = split_join(grouped_rows, first, ["k"]).withColumn("c", F.coalesce("component", "k"))
+    rest = rest.union(_met_apart(grouped_rows)).distinct()
     if large is not None:
         more, pairs = _large(near, first, sketches)
         links = links.union(more)
         rest = rest.union(pairs).distinct()
     groups = components(links.union(settle(_verified(rest, sketches), "line-rest")))
-    discard(sketches, met, links)
+    discard(shared, sketches, met, links, *([refined] if spread else []))
     return groups
 
 
@@ -516,7 +575,7 @@ def _apart(pairs: DataFrame, first: DataFrame) -> DataFrame:
 
 
 def _large(near: DataFrame, first: DataFrame, sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of blocks of more than ``HOT`` lines, whose least lines' links are in ``first``: more links, and the pairs that are left to be verified."""
+    """Of blocks of more than ``PAIRED`` lines, whose least lines' links are in ``first``: more links, and the pairs that are left to be verified."""
     more = None
     ungrouped, near = near, split_join(near, first, ["k"]).withColumn("c", F.coalesce("component", "k")).drop("component")
     near = settle(near, "line-groups")

@@ -641,3 +641,37 @@ def test_documents_are_coded_together():
     assert back.tolist() == ids.tolist()
     shares = list(token_output._shares(np.array([1 << 18, 1 << 18, 1, 1 << 20, 5])))
     assert shares == [(0, 2), (2, 3), (3, 4), (4, 5)] and not list(token_output._shares(np.zeros(0, np.int64)))
+
+
+def test_runs_are_counted_by_buckets(spark):
+    """A row of fixed size for each bucket tells which pieces are of several lines; no row a piece is shuffled or kept."""
+    random = np.random.default_rng(21)
+    lines = [" ".join(f"w{k}" for k in random.integers(0, 30, int(n))) for n in random.integers(4, 60, 300)]
+    distinct = line_dedup.line_table(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).groupBy("k").agg(F.min("norm").alias("norm"))
+    counts = line_dedup._piece_counts(distinct, False)
+    bits, levels = line_dedup._filters(counts)
+    held = {r["part"]: r["many"] for r in line_dedup._blocks(distinct, False).groupBy("part").agg(F.count("*").alias("many")).collect()}
+    part = np.array(sorted(held))
+    many = np.array([held[p] for p in part.tolist()])
+    bit, place = part >> (line_dedup.PART_BITS + 1 - line_dedup.FILTER_BITS.bit_length()), part >> (line_dedup.PART_BITS + 1 - line_dedup.LEVELS.bit_length())
+    assert counts.count() <= 1 << line_dedup.BUCKET_BITS < len(part)
+    assert (many > 1).any() and (bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)[many > 1].all()
+    assert np.unpackbits(bits).sum() == len(np.unique(bit[many > 1]))
+    assert (levels[place][many > 1] >= np.floor(8 * np.log2(many[many > 1]))).all() and (levels > 0).sum() == len(np.unique(place[many > 1]))
+
+
+def test_blocks_of_some_hundred_lines_are_not_refined(spark, monkeypatch):
+    """300 lines with a phrase in common, some of them alike: pairs are found in numpy, in blocks above and below ``HOT``."""
+    monkeypatch.setattr(line_dedup, "_refined", lambda *_: pytest.fail("refined"))
+    random = np.random.default_rng(22)
+    rows = []
+    for i in range(100):
+        words = ["at the end", *(f"w{k}" for k in random.integers(0, 10**9, 27))]
+        for j in range(3):  # the third is alike to the second only
+            words = list(words)
+            for at in random.choice(np.arange(1, 28), 4, replace=False) if j else ():
+                words[at] = f"x{random.integers(0, 10**9)}"
+            rows.append((len(rows), " ".join(words)))
+    assert len(rows) > line_dedup.HOT
+    got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k for k, n in got.items() if n} == {k for k in range(300) if k % 3}
