@@ -27,8 +27,8 @@ lines share never makes pairs by itself.
 
 Lines that meet are compared by a 64-bit SimHash of their words, in the bits that no number of edits allowed can turn, by a
 parity of words in ``PARITY`` numbers of 64 bits, which each edit changes in two bits at most, and then by edit distance, with a letter for each word (2 ** 20
-letters, by hash). In a block of ``PAIRED`` lines at most the tests are done in numpy. The pairs of the least line, of the least one that
-is not near it, and so on are measured first; after these links are contracted, those that lead from one group to another. A larger
+letters, by hash). In a block of ``PAIRED`` lines at most the tests are done in numpy. The pairs of the least line and, ``PIVOTS`` times, of
+the least one that is not near these are measured first; after these links are contracted, those that lead from one group to another. A larger
 block is worked by joins: all lines are first held against the least; after those links are contracted, the least of the lines
 outside its group is held against the others and leaves the block, ``PIVOTS`` times, each time with what links contracted. What is then
 still outside is held against the others, unless the two are known to share a larger block too. Of each connected group the first occurrence stays, in the order
@@ -69,6 +69,8 @@ MIN_WORDS = 1
 SIMILARITY = 0.8
 #: Runs are counted by buckets of their hashes, named by so many bits; the rest of a hash fits 4 bytes.
 BUCKET_BITS = 10
+#: Pairs that a task tests at a time.
+TESTED = 1 << 20
 #: Places of a fixed-size array, of a byte each, that says how frequent pieces are (4 MB); it sets an order only.
 LEVELS = 1 << 22
 #: Runs that a task holds before it deals them to buckets (32 MB).
@@ -460,8 +462,7 @@ def _ends(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _met(near: DataFrame) -> DataFrame:
     """(a, b, star): pairs of lines of a block that pass the test of :func:`_near`, each once.
 
-    ``star`` has those of a block's least line, of the least line that is not near that one, and so on, so that each line is in one
-    of them if any. The others come from blocks of ``HOT`` lines at most. Rows of a block stand together: each is held against the next
+    ``star`` has those of a block's least line and, ``PIVOTS`` times, of the least line that is not near one of these. The others come from blocks of ``HOT`` lines at most. Rows of a block stand together: each is held against the next
     one, the one after that, and so on.
     """
 
@@ -474,15 +475,18 @@ def _met(near: DataFrame) -> DataFrame:
             i = i[end[i] > i + step]
             pairs.append(_tested(i, i + step, rows))
         stars = []
-        i = np.arange(len(part))
-        while len(i):
+        i, left = np.arange(len(part)), np.ones(len(part), bool)
+        for _ in range(1 + PIVOTS):
+            if not len(i):
+                break
             # The least of the lines that are left in each block leads.
             new = np.append(True, part[i[1:]] != part[i[:-1]])
             lead = np.repeat(i[new], np.diff(np.append(np.flatnonzero(new), len(i))))
             i, lead = i[~new], lead[~new]
             x, y = _tested(lead, i, rows)
             stars.append((x, y))
-            i = i[~np.isin(i, y, assume_unique=True)]
+            left[y] = False
+            i = i[left[i]]
         x, y = (np.concatenate(c) for c in zip(*stars, *pairs))
         star = np.arange(len(x)) < sum(len(c) for c, _ in stars)
         return pa.RecordBatch.from_arrays([pa.array(k[x]), pa.array(k[y]), pa.array(star)], ["a", "b", "star"])
@@ -502,14 +506,15 @@ def _met_apart(near: DataFrame) -> DataFrame:
         begin, end = _ends(part)
         out = np.flatnonzero(c != c[begin])
         # A line outside the group of the block's least line, against all; places of some lines at a time, bounded by their number.
-        size = end[out] - begin[out]
-        done = 0
+        size, done = end[out] - begin[out], 0
+        within = np.ones(len(part), bool)
+        within[out] = False
         while done < len(out):
-            upto = max(done + 1, int(np.searchsorted(np.cumsum(size[done:]), PIECE, "right")) + done)
+            upto = max(done + 1, int(np.searchsorted(np.cumsum(size[done : done + TESTED]), TESTED, "right")) + done)
             some, many = out[done:upto], size[done:upto]
             x = np.repeat(some, many)
             y = np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many) + begin[x]
-            other = c[x] != c[y]
+            other = (within[y] | (y > x)) & (c[x] != c[y])
             x, y = _tested(x[other], y[other], rows)
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(k[x], k[y])), pa.array(np.maximum(k[x], k[y]))], ["a", "b"])
             done = upto
@@ -561,6 +566,10 @@ def fuzzy_links(distinct: DataFrame, sampled: bool = False) -> DataFrame:
         more, pairs = _large(near, first, sketches)
         links = links.union(more)
         rest = rest.union(pairs).distinct()
+    rest = settle(_spoken(_apart(rest, first)), "line-spoken")
+    links = links.union(settle(_verified(rest.filter("spoken").select("a", "b"), sketches), "line-more"))
+    later = settle(components(links), "line-first").withColumnRenamed("node", "k")
+    rest = _apart(rest.filter("NOT spoken").select("a", "b"), later).select("a", "b")
     groups = components(links.union(settle(_verified(rest, sketches), "line-rest")))
     discard(shared, sketches, met, links, *([refined] if spread else []))
     return groups
@@ -574,6 +583,15 @@ def _apart(pairs: DataFrame, first: DataFrame) -> DataFrame:
     return ends.filter("ca <> cb")
 
 
+def _spoken(pairs: DataFrame) -> DataFrame:
+    """(a, b, spoken): whether a pair is one of the least line, among the pairs, of either group; these are measured first."""
+    ends = pairs.select(F.col("ca").alias("c"), F.col("a").alias("k")).union(pairs.select("cb", "b"))
+    least = ends.groupBy("c").agg(F.min("k").alias("s"))
+    marked = split_join(pairs, least.toDF("ca", "sa"), ["ca"], "inner")
+    marked = split_join(marked, least.toDF("cb", "sb"), ["cb"], "inner")
+    return marked.select("a", "b", ((F.col("a") == F.col("sa")) | (F.col("b") == F.col("sb"))).alias("spoken"))
+
+
 def _large(near: DataFrame, first: DataFrame, sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of blocks of more than ``PAIRED`` lines, whose least lines' links are in ``first``: more links, and the pairs that are left to be verified."""
     more = None
